@@ -1,0 +1,5 @@
+"""No streaming operator is offered: every job here is a re-runnable batch.
+
+The weekly jobs (``haulmark.plans.jobs``) overwrite their own output, and the
+outbound queue (``haulmark.sources.sinks.append_audited``) only appends rows.
+"""
