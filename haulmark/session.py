@@ -15,6 +15,7 @@ def local_session(cpus: str | int = "*", app: str = "haulmark", shuffle: int = 8
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
