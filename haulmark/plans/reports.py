@@ -1,0 +1,552 @@
+"""Supplier reports: billing, performance, scorecard, expense by mode, roll dates."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from haulmark import constants as K
+from haulmark.functions import classify as cl
+from haulmark.functions.numbers import dec, or_zero, ratio
+from haulmark.functions.predicates import (
+    ci,
+    code_list,
+    id_list,
+    in_dates,
+    not_deleted,
+    optional_in,
+    positive_key,
+)
+from haulmark.operators import costs as C
+from haulmark.operators import history as H
+from haulmark.operators.rates import blended_rate_of
+from haulmark.operators.shared import fiscal_period_of, live, lowest
+
+PO, LOAD, BILL = C.PO, C.LOAD, C.BILL
+Tables = Mapping[str, DataFrame]
+
+
+def _vendors(t: Tables, *extra: str) -> DataFrame:
+    return t["tms_vendor"].select(
+        "tms_vendor_id",
+        "vendor_number",
+        "remit_vendor",
+        F.col("name").alias("vendor_name"),
+        *[F.col(c).alias(f"v_{c}") for c in ("address1", "city", "state", "zip")],
+        *extra,
+    )
+
+
+def _facilities(t: Tables) -> DataFrame:
+    return t["tms_vendor_facility"].select(
+        "tms_vendor_facility_id", *[F.col(c).alias(f"f_{c}") for c in ("address1", "city", "state", "zip")]
+    )
+
+
+def address(part: str) -> Column:
+    """The facility's address line, else the vendor's."""
+    return F.coalesce(F.col(f"f_{part}"), F.col(f"v_{part}"))
+
+
+def _warehouses(t: Tables, key: str, name: str, *extra: str) -> DataFrame:
+    return t["tms_whs"].select(F.col("tms_whs_id").alias(key), F.col("name").alias(name), *extra)
+
+
+def _buyers(t: Tables) -> DataFrame:
+    return t["tms_buyer"].select(F.col("tms_buyer_id").alias("tms_buyer"), F.col("name").alias("buyer_name"))
+
+
+def _not_transfer() -> Column:
+    return not_deleted(F.col("is_transfer_vendor"))
+
+
+def _allocated(t: Tables, start, end) -> DataFrame:
+    return C.allocate_invoices(t["lo_purchase_orders"], t["bl_bill_pos"], t["bl_billing"], start, end)
+
+
+def _gaps(t: Tables, start, end) -> DataFrame:
+    return C.not_fully_billed(
+        t["lo_purchase_orders"], t["lo_po_loads"], t["lo_loads"], t["bl_bill_pos"], t["bl_billing"],
+        t["cr_carriers"], start, end,
+    )
+
+
+def supplier_billing_report(
+    t: Tables, start, end, source_systems=None, vendors=None, remit="ALL", regions=None
+) -> DataFrame:
+    """Fully billed revenue orders with revenue, freight, backhaul and profit.
+
+    The result has one row per order: everything the loads and bills decide is
+    aggregated per order first, so no row fans out over loads and bills.
+    """
+    orders = (
+        t["lo_purchase_orders"]
+        .filter(
+            in_dates("rec_date", start, end)
+            & (F.col("tms_status_id") == K.PO_RECEIVED)
+            & (F.col("revenue_type") == K.REVENUE_ORDER)
+            & F.col("source_system").isNotNull()
+            & optional_in(F.col("source_system"), code_list(source_systems))
+            & optional_in(F.col("sales_region_id"), id_list(regions))
+        )
+        .join(_gaps(t, start, end).select(PO), PO, "left_anti")
+        .withColumnsRenamed({"total_weight": "po_weight", "rec_date": "receive_date"})
+    )
+    links = (
+        live(t["lo_po_loads"])
+        .select(PO, LOAD)
+        .join(
+            t["lo_loads"].select(
+                LOAD, "cr_carrier_id", "source_whs_id", "destination_whs_id", F.lit(True).alias("known")
+            ),
+            LOAD,
+            "left",
+        )
+    )
+    billed = live(t["bl_bill_pos"]).select(PO, LOAD, F.lit(True).alias("billed")).distinct()
+    by_backhaul_carrier = F.col("cr_carrier_id") == K.BACKHAUL_CARRIER
+    per_order = (
+        links.join(billed, [PO, LOAD], "left")
+        .join(_warehouses(t, "destination_whs_id", "load_destination"), "destination_whs_id", "left")
+        .groupBy(PO)
+        .agg(
+            F.max(F.col("known").isNull() | by_backhaul_carrier | F.col("billed").isNotNull()).alias("keep"),
+            F.max(cl.is_backhaul(F.col("cr_carrier_id"), F.col("source_whs_id"))).alias("backhauled"),
+            lowest(
+                {"name": F.col("load_destination")},
+                F.col(LOAD),
+                where=by_backhaul_carrier & F.col("load_destination").isNotNull(),
+            )["name"].alias("load_destination"),
+        )
+    )
+    freight = C.po_freight(_allocated(t, start, end))
+    backhaul = C.backhaul_expense(
+        orders.withColumnRenamed("receive_date", "rec_date"), t["lo_po_loads"], t["lo_loads"],
+        t["fiscal_calendar"], t["pallet_handling_rate"], F.ceil("total_pallets"), pick="one",
+    ).select(PO, F.col("backhaul_expense_po").cast(dec(20, 5)).alias("backhaul_expense_po"))
+    wide = (
+        orders.join(per_order, PO, "left")
+        .filter(F.coalesce(F.col("keep"), F.lit(True)))
+        .join(freight, PO, "left")
+        .join(backhaul, PO, "left")
+        .join(t["sales_region"].select("sales_region_id", F.col("sales_region_name").alias("sales_region")), "sales_region_id")
+        .join(_vendors(t), "tms_vendor_id", "left")
+        .filter(
+            optional_in(F.col("vendor_number"), code_list(vendors))
+            & optional_in(F.col("remit_vendor"), id_list(remit))
+        )
+        .join(_facilities(t), "tms_vendor_facility_id", "left")
+        .join(_warehouses(t, "dis_whs_id", "po_destination"), "dis_whs_id", "left")
+        .join(_buyers(t), "tms_buyer", "left")
+        .join(live(t["commodity_codes"]).select("commodity_code_id", "commodity_code_description"), "commodity_code_id", "left")
+        .join(t["order_types"].select("order_type_id", "order_type_description"), "order_type_id", "left")
+    )
+    wide = C.load_and_bill_counts(wide, t["lo_po_loads"], t["lo_loads"], t["bl_bill_pos"])
+    weight = F.col("po_weight")
+    revenue = cl.po_revenue(F.col("prod_frt"), F.col("allowance"))
+    paid, hauled = or_zero(F.col("freight_paid_po")), or_zero(F.col("backhaul_expense_po"))
+    inbound_lb = cl.per_lb(hauled, weight) + cl.per_lb(paid, weight)
+    four, six = dec(20, 4), dec(20, 6)
+    return wide.select(
+        "po_number",
+        PO,
+        "dis_whs_id",
+        "po_weight",
+        "total_units",
+        cl.protection_level(F.col("frz_units"), F.col("chl_units")).alias("protection_level"),
+        F.ceil("total_pallets").alias("total_pallets"),
+        "total_cubes",
+        "d_rte",
+        "vendor_name",
+        F.col("remit_vendor").alias("remit_number"),
+        "vendor_number",
+        *[address(c).alias(c) for c in ("address1", "city", "state", "zip")],
+        "receive_date",
+        revenue.alias("total_revenue"),
+        cl.per_lb(revenue, weight).alias("total_revenue_lb"),
+        F.when(F.col("backhauled"), "Backhauled").alias("backhaul_indicator"),
+        "backhaul_expense_po",
+        "po_destination",
+        "load_destination",
+        "load_count",
+        "bill_count",
+        or_zero(F.col("prod_frt")).alias("booked_freight"),
+        or_zero(F.col("allowance")).alias("allowance"),
+        "alt_rte_1",
+        cl.po_type(F.col("keep").isNotNull()).alias("po_type"),
+        paid.cast(four).alias("total_freight_paid_po"),
+        cl.per_lb(paid, weight).alias("total_freight_paid_lb"),
+        "buyer_name",
+        "sales_region",
+        "source_system",
+        "commodity_code_description",
+        "order_type_description",
+        cl.per_lb(hauled, weight).alias("backhaul_expense_lb"),
+        (hauled + paid.cast(four)).cast(four).alias("total_inbound_expense_po"),
+        inbound_lb.cast(six).alias("total_inbound_expense_lb"),
+        (revenue - (hauled + paid.cast(four))).cast(four).alias("inbound_profitability_po"),
+        (cl.per_lb(revenue, weight) - inbound_lb).cast(six).alias("inbound_profitability_lb"),
+    )
+
+
+def _key_filter(remit, vendor) -> Column:
+    """One remit number when no vendor is given, one vendor when no remit is.
+
+    Both given: the vendor is ignored. Neither: no rows. ``remit="ALL"`` runs
+    the report for every remit number at once.
+    """
+    if remit is not None:
+        return optional_in(F.col("remit_vendor"), id_list(remit))
+    if vendor is not None:
+        return F.col("vendor_number") == vendor
+    return F.lit(False)
+
+
+def _performance_orders(t: Tables, start, end, where: Column, scale_null: bool, rate_system: str) -> DataFrame:
+    """Received orders with expense, backhaul and lookups: one row per order."""
+    destination = _warehouses(t, "dis_whs_id", "po_destination", F.col("source_system").alias("whs_system"))
+    orders = (
+        t["lo_purchase_orders"]
+        .filter((F.col("tms_status_id") == K.PO_RECEIVED) & in_dates("rec_date", start, end))
+        .join(destination, "dis_whs_id")
+        .join(_vendors(t, "is_transfer_vendor"), "tms_vendor_id", "left")
+        .filter(_not_transfer() & where)
+    )
+    allocated = _allocated(t, start, end)
+    if not scale_null:
+        allocated = allocated.withColumn("freight_paid_po", or_zero(F.col("freight_paid_po")))
+    totals = allocated.groupBy(PO).agg(F.sum("freight_paid_po").cast(dec(10, 3)).alias("freight_paid_po"))
+    totals = C.bill_status(totals, _gaps(t, start, end))
+    backhaul = C.backhaul_expense(
+        orders, t["lo_po_loads"], t["lo_loads"], t["fiscal_calendar"], t["pallet_handling_rate"],
+        F.ceil("total_pallets"), pick="sum", system_col=rate_system,
+    )
+    linked = live(t["lo_po_loads"]).select(PO, F.lit(True).alias("linked")).distinct()
+    wide = (
+        orders.join(totals, PO, "left")
+        .join(backhaul, PO, "left")
+        .join(linked, PO, "left")
+        .join(_facilities(t), "tms_vendor_facility_id", "left")
+        .join(_buyers(t), "tms_buyer", "left")
+        .join(
+            t["apvenmast"].select(F.col("vendor").alias("remit_vendor"), F.col("vendor_vname").alias("remit_vendor_name")),
+            "remit_vendor",
+            "left",
+        )
+    )
+    return H.pend_status(wide, t["lo_po_log"])
+
+
+def _appointments(t: Tables) -> DataFrame:
+    """Order-to-appointment rows whose appointment stands."""
+    kept = t["app_appointments"].filter(
+        ~F.col("appointment_status").isin(*K.APPOINTMENT_VOID_STATES)
+    ).select(
+        "app_appointment_id", F.col("tms_whs_id").alias("dis_whs_id"), "appointment_date", "datetimelanded", "calculated_eta"
+    )
+    return live(t["app_appointment_pos"]).select("app_appointment_id", PO).join(kept, "app_appointment_id")
+
+
+def _performance_columns(expense: Column, backhaul: Column) -> list[Column]:
+    return [
+        F.col("remit_vendor").alias("remit_vendor_number"),
+        F.col("remit_vendor_name"),
+        F.col("vendor_number"),
+        F.col("vendor_name"),
+        F.col("po_destination"),
+        F.col("d_rte").alias("route_code"),
+        cl.po_type(F.col("linked").isNotNull()).alias("po_type"),
+        F.col("original_eta_date"),
+        F.col("appointment_date"),
+        F.col("datetimelanded"),
+        F.col("app_appointment_id"),
+        F.col("po_destination").alias("appt_destination_whs"),
+        F.col("landed"),
+        F.col("po_number"),
+        F.col("total_units_ordered"),
+        F.col("total_units_original"),
+        F.col("total_units").alias("total_units_rcv"),
+        *[address(c).alias(n) for c, n in (("address1", "pickup_address"), ("city", "pickup_city"), ("state", "pickup_state"), ("zip", "zip"))],
+        F.col("total_weight").alias("total_po_received_lbs"),
+        or_zero(F.col("prod_frt")).alias("po_revenue"),
+        expense.alias("po_expense"),
+        or_zero(backhaul).alias("backhaul_expense_po"),
+        F.when(F.col("bill_status").isNull(), expense + or_zero(backhaul)).alias("po_inbound_expense"),
+        F.when(F.col("backhaul_loads") > 0, "YES").otherwise("NO").alias("backhaul_indicator"),
+        F.col("bill_status"),
+        F.col("po_dollar_value").alias("total_po"),
+        F.ceil("total_pallets").alias("total_pallets_rcv"),
+        F.col("landed_vs_needby"),
+        F.col("need_by_date"),
+        F.col("buyer_name"),
+        F.col("has_been_in_pend_status"),
+    ]
+
+
+def supplier_performance(t: Tables, start, end, remit=None, vendor=None, warehouses=None) -> DataFrame:
+    """Appointment rows with on-time flags, units, expense and margin."""
+    where = (
+        positive_key(F.col("remit_vendor"))
+        & (F.col("total_weight") > 0)
+        & _key_filter(remit, vendor)
+        & optional_in(F.col("dis_whs_id"), id_list(warehouses))
+    )
+    orders = _performance_orders(t, start, end, where, True, "source_system")
+    visits = cl.on_time_flags(orders.join(_appointments(t), [PO, "dis_whs_id"]))
+    levels = cl.protection_levels(*[F.col(c) for c in ("chl_units", "dry_units", "frz_units", "rpk_units")])
+    every_level = (
+        visits.select(F.explode(F.split(levels, ",")).alias("level"))
+        .filter("level <> ''")
+        .agg(F.array_join(F.array_sort(F.collect_set("level")), ",").alias("levels"))
+        .scalar()
+    )
+    open_bill = F.col("bill_status").isNull()
+    expense = F.when(open_bill, or_zero(F.col("freight_paid_po"))).otherwise(F.lit(0).cast(dec(10, 3)))
+    backhaul = F.when(open_bill, F.col("backhaul_expense_po")).cast(dec(10, 3))
+    margin = or_zero(F.col("prod_frt")) - (expense + or_zero(backhaul))
+    return visits.join(H.first_last_order_log(t["purchaseorderslog"]), "po_number").select(
+        *_performance_columns(expense, backhaul),
+        levels.alias("protection_level"),
+        F.when(open_bill, margin).otherwise(0).cast(dec(18, 3)).alias("margin_po"),
+        F.when(open_bill, F.coalesce(ratio(margin, or_zero(F.col("prod_frt")), 6), F.lit(0)))
+        .cast(dec(18, 3))
+        .alias("margin_po_pct"),
+        F.to_date("rec_date").alias("rec_date"),
+        every_level.alias("all_protection_levels"),
+    )
+
+
+def supplier_scorecard(
+    t: Tables, start, end, remit="ALL", vendor="ALL", warehouses=None, buyers=None
+) -> DataFrame:
+    """Performance rows with appointment status and a buyer filter.
+
+    Rates follow the destination warehouse's source system, and the backhaul
+    expense counts once per appointment of the order.
+    """
+    where = (
+        positive_key(F.col("remit_vendor"))
+        & optional_in(F.col("remit_vendor"), id_list(remit))
+        & optional_in(F.col("vendor_number"), code_list(vendor))
+        & optional_in(F.col("dis_whs_id"), id_list(warehouses))
+        & optional_in(F.col("tms_buyer"), id_list(buyers))
+    )
+    orders = _performance_orders(t, start, end, where, False, "whs_system")
+    booked = _appointments(t)
+    times = booked.groupBy(PO, "dis_whs_id").agg(F.count(F.lit(1)).alias("visits"))
+    visits = cl.on_time_flags(
+        orders.join(booked.distinct(), [PO, "dis_whs_id"]).join(times, [PO, "dis_whs_id"])
+    )
+    open_bill = F.col("bill_status").isNull()
+    expense = F.when(open_bill, F.col("freight_paid_po")).otherwise(F.lit(0).cast(dec(10, 3)))
+    backhaul = F.when(open_bill, F.col("backhaul_expense_po") * F.col("visits")).cast(dec(10, 3))
+    revenue = or_zero(F.col("prod_frt"))
+    inbound = expense + or_zero(backhaul)
+    return visits.join(H.first_last_order_log(t["purchaseorderslog"]), "po_number").select(
+        *_performance_columns(expense, backhaul),
+        cl.protection_level(F.col("frz_units"), F.col("chl_units")).alias("protection_level"),
+        F.col("appointment_status"),
+        F.when(open_bill, revenue - inbound).otherwise(0).cast(dec(18, 3)).alias("margin_po"),
+        F.when(open_bill & (inbound != 0), F.coalesce(ratio(revenue - inbound, revenue, 6), F.lit(0)))
+        .otherwise(revenue)
+        .cast(dec(20, 6))
+        .alias("margin_po_pct"),
+    ).distinct()
+
+
+def supplier_expense_by_mode(
+    t: Tables, start, end, remit="ALL", vendor="ALL", warehouses=None, include_transfers: bool = True, strict_origin: bool = False
+) -> DataFrame:
+    """Order/load rows with shipping mode, origin, per-pound costs and load totals."""
+    orders = (
+        t["lo_purchase_orders"]
+        .filter(
+            in_dates("rec_date", start, end)
+            & (F.col("tms_status_id") != K.PO_EXCLUDED)
+            & optional_in(F.col("dis_whs_id"), id_list(warehouses))
+        )
+        .join(_warehouses(t, "dis_whs_id", "po_destination"), "dis_whs_id")
+        .join(_vendors(t, "is_transfer_vendor"), "tms_vendor_id", "left")
+        .filter(
+            (F.lit(include_transfers) | _not_transfer())
+            & optional_in(F.col("remit_vendor"), id_list(remit))
+            & optional_in(F.col("vendor_number"), code_list(vendor))
+        )
+    )
+    rows = fiscal_period_of(orders, "rec_date", t["fiscal_calendar"], ("fiscal_year", "period", "week")).join(
+        live(t["lo_po_loads"]).select(PO, LOAD).distinct(), PO, "left"
+    )
+    loads = (
+        t["lo_loads"]
+        .join(
+            t["cr_carriers"].select("cr_carrier_id", F.col("name").alias("load_carrier"), "ltl_carrier"),
+            "cr_carrier_id",
+        )
+        .join(t["tms_master_route"].select("tms_master_route_id", "master_route"), "tms_master_route_id", "left")
+        .join(_warehouses(t, "source_whs_id", "source_name"), "source_whs_id", "left")
+        .join(live(t["cr_agreement"]).select(LOAD, "cr_rate_id"), LOAD, "left")
+        .join(t["cr_rate"].select("cr_rate_id", F.col("mode").alias("rate_mode")), "cr_rate_id", "left")
+        .join(_warehouses(t, "destination_whs_id", "load_destination"), "destination_whs_id", "left")
+        .join(
+            t["sec_users"].select(F.col("sec_users_id").alias("created_by"), F.col("user_name").alias("load_created_by")),
+            "created_by",
+            "left",
+        )
+        .select(
+            LOAD,
+            "load_carrier",
+            cl.shipping_mode(
+                F.col(LOAD), F.col("cr_carrier_id"), F.col("ltl_carrier"), F.col("source_name"), F.col("cr_rate_id"),
+                F.col("rate_mode"), F.col("destination_whs_id"),
+            ).alias("mode"),
+            cl.is_backhaul(F.col("cr_carrier_id"), F.col("source_whs_id")).alias("backhauled"),
+            "destination_whs_id",
+            "load_destination",
+            "load_created_by",
+            "master_route",
+        )
+        .distinct()
+    )
+    # A load's totals need only its orders and how many detail rows it has.
+    per_load = (
+        rows.filter(F.col(LOAD).isNotNull() & (F.col(LOAD) != 0))
+        .groupBy(LOAD)
+        .agg(F.sum("total_weight").alias("w"), F.sum("total_cubes").alias("c"))
+        .join(loads.groupBy(LOAD).agg(F.count(F.lit(1)).alias("details")), LOAD)
+        .select(
+            LOAD,
+            (F.col("w") * F.col("details")).cast(dec(28, 3)).alias("load_total_weight"),
+            (F.col("c") * F.col("details")).cast(dec(28, 3)).alias("load_total_cubes"),
+        )
+    )
+    rates = t["pallet_handling_rate"].select(
+        "fiscal_year", ci(F.col("source_system")).alias("_system"), "backhaul_rate", "cross_dock_rate"
+    )
+    paid = C.po_freight(_allocated(t, start, end), (PO, LOAD)).withColumn(
+        "freight_paid_po", F.col("freight_paid_po").cast(dec(10, 3))
+    )
+    wide = (
+        rows.withColumn("_system", ci(F.col("source_system")))
+        .join(paid, [PO, LOAD], "left")
+        .join(loads, LOAD, "left")
+        .join(per_load, LOAD, "left")
+        .join(rates, ["fiscal_year", "_system"], "left")
+        .join(H.load_origin(t["tms_pc_miler_history"], strict_origin), LOAD, "left")
+        .join(_facilities(t), "tms_vendor_facility_id", "left")
+        .join(_buyers(t), "tms_buyer", "left")
+    )
+    pallets = F.ceil("total_pallets")
+    rate = F.when(
+        F.col("dis_whs_id") == F.col("destination_whs_id"), F.col("backhaul_rate")
+    ).otherwise(F.col("cross_dock_rate"))
+    hauled = F.when(F.col("backhauled") & (pallets > 0), pallets * rate)
+    weight, freight = F.col("total_weight"), or_zero(F.col("freight_paid_po"))
+    revenue = cl.po_revenue(F.col("prod_frt"), F.col("allowance"))
+    inbound = freight + or_zero(hauled)
+
+    def per_lb(value: Column) -> Column:
+        return ratio(value, weight, 3, 18)
+
+    return wide.select(
+        "po_number",
+        LOAD,
+        PO,
+        "d_rte",
+        cl.protection_level(F.col("frz_units"), F.col("chl_units")).alias("protection_level"),
+        *[
+            F.to_date(c).alias(n)
+            for c, n in (
+                ("original_pickup_date", "original_po_request_date"),
+                ("request_date", "request_date"),
+                ("original_eta_date", "original_po_eta_date"),
+                ("expect_date", "current_eta_date"),
+                ("rec_date", "receive_date"),
+            )
+        ],
+        "total_units",
+        weight.alias("po_weight"),
+        "total_cubes",
+        pallets.alias("total_pallets"),
+        F.col("remit_vendor").alias("remit_number"),
+        "vendor_number",
+        "vendor_name",
+        *[address(c).alias(f"po_origin_{n}") for c, n in (("address1", "address"), ("city", "city"), ("state", "state"), ("zip", "zip"))],
+        "dis_whs_id",
+        "po_destination",
+        F.col("prod_frt").alias("booked_freight"),
+        "allowance",
+        "freight_paid_po",
+        F.col("week").alias("fiscal_week"),
+        F.col("period").alias("fiscal_period"),
+        "fiscal_year",
+        "source_system",
+        "buyer_name",
+        revenue.alias("total_revenue"),
+        "load_origin_city",
+        "load_origin_state",
+        "load_origin_zip",
+        F.when(F.col("backhauled"), "YES").otherwise("NO").alias("backhaul_indicator"),
+        hauled.cast(dec(10, 3)).alias("backhaul_expense_po"),
+        "load_carrier",
+        F.when(F.col(LOAD).isNull(), "VSP").otherwise(F.col("mode")).alias("mode"),
+        "load_destination",
+        "load_created_by",
+        "master_route",
+        F.when(F.col("load_carrier").isNotNull(), F.col("load_total_weight")).alias("load_total_weight"),
+        F.when(F.col("load_carrier").isNotNull(), F.col("load_total_cubes")).alias("load_total_cubes"),
+        per_lb(freight).alias("freight_paid_lb"),
+        per_lb(revenue).alias("total_revenue_lb"),
+        per_lb(or_zero(hauled)).alias("backhaul_expense_lb"),
+        inbound.cast(dec(18, 3)).alias("inbound_expense_po"),
+        per_lb(inbound).alias("inbound_expense_lb"),
+    )
+
+
+def roll_date_report(t: Tables, start, end, source_systems=None) -> DataFrame:
+    """Forms whose price takes effect in the window, with rate and pickup day."""
+    rows = live(t["fp_freight_form_vendor"]).filter(in_dates("effective_date", start, end))
+    whs = t["tms_whs"].select(
+        "tms_whs_id", F.col("name").alias("warehouse"), F.col("source_system").alias("whs_system")
+    )
+    vendors = live(t["tms_vendor"]).select("tms_vendor_id", "vendor_number", F.col("name").alias("vendor_name"))
+    pickups = live(t["fp_ff_pickup_locations"]).select(
+        "fp_ff_pickup_locations_id", "fp_freight_form_id", "d_rte", "pickup_day"
+    )
+    kinds = live(t["fp_ff_allowance_type"]).select(
+        F.col("fp_ff_allowance_type_id").alias("_kind"), F.col("fp_ff_allowance_type_id").alias("kind_id"), "description"
+    )
+    forms = t["fp_freight_form"]
+    wide = (
+        rows.join(
+            forms.select(
+                "fp_freight_form_id", "supplier_name", "tms_status_id", "submit_date",
+                F.col("fp_ff_allowance_type_id").alias("_kind"), *[f"{b}_blended_freight_rate" for b in K.BLENDS],
+            ),
+            "fp_freight_form_id",
+        )
+        .join(whs, "tms_whs_id", "left")
+        .join(vendors, "tms_vendor_id", "left")
+        .join(pickups, ["fp_ff_pickup_locations_id", "fp_freight_form_id"], "left")
+        .join(kinds, "_kind", "left")
+    )
+    systems = code_list(source_systems)
+    if systems is not None:
+        wide = wide.filter(optional_in(F.col("whs_system"), systems))
+    day = F.element_at(F.array(*[F.lit(d) for d in K.PICKUP_DAYS]), F.col("pickup_day") + 1)
+    rate = blended_rate_of(F.col("whs_system"), F.col("tms_whs_id"), F.col("proposed_freight_per_lb"))
+    return wide.select(
+        "fp_freight_form_id",
+        F.col("vendor_number").alias("supplier_number"),
+        F.coalesce(F.col("supplier_name"), F.col("vendor_name")).alias("supplier_name"),
+        "warehouse",
+        F.when(F.col("tms_status_id") == K.COMPLETED, F.col("submit_date")).alias("submit_date_completed_status"),
+        rate.cast(dec(18, 3)).alias("submitted_rate_per_lb"),
+        F.col("effective_date").alias("roll_date"),
+        "d_rte",
+        day.alias("pickup_day"),
+        F.col("kind_id").alias("fp_ff_allowance_type_id"),
+        "description",
+        "offered_pickup_allowance",
+    ).distinct()
