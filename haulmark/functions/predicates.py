@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from haulmark.constants import PICKUP_DAYS
+
 
 def not_deleted(flag: Column | str = "is_deleted") -> Column:
     """NULL and false both mean the row is live."""
@@ -100,3 +102,16 @@ def dollars(rate: Column) -> Column:
 
 def short_date(value: Column) -> Column:
     return F.date_format(value, "MM/dd/yy")
+
+
+def pickup_day_name(day: Column) -> Column:
+    """0 = Monday; anything else than 0-6 has no name."""
+    names = F
+    for number, name in enumerate(PICKUP_DAYS):
+        names = names.when(day == number, name)
+    return names
+
+
+def pickup_day_number(day: Column) -> Column:
+    """1 = Monday, from 0 = Monday."""
+    return F.when(day.between(0, len(PICKUP_DAYS) - 1), day + 1)

@@ -11,6 +11,7 @@ from haulmark import constants as K
 from haulmark.functions import classify as cl
 from haulmark.functions.numbers import dec, or_zero, ratio
 from haulmark.functions.predicates import (
+    pickup_day_name,
     ci,
     code_list,
     id_list,
@@ -534,7 +535,7 @@ def roll_date_report(t: Tables, start, end, source_systems=None) -> DataFrame:
     systems = code_list(source_systems)
     if systems is not None:
         wide = wide.filter(optional_in(F.col("whs_system"), systems))
-    day = F.element_at(F.array(*[F.lit(d) for d in K.PICKUP_DAYS]), F.col("pickup_day") + 1)
+    day = pickup_day_name(F.col("pickup_day"))
     rate = blended_rate_of(F.col("whs_system"), F.col("tms_whs_id"), F.col("proposed_freight_per_lb"))
     return wide.select(
         "fp_freight_form_id",
