@@ -23,8 +23,11 @@ def or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(Decimal(0)))
 
 
-def ratio(top: Column, bottom: Column, scale: int = 6, precision: int = 38) -> Column:
-    """``top / bottom`` rounded half up once; NULL when ``bottom`` is zero or NULL."""
+def ratio(top: Column, bottom: Column, scale: int = 6, precision: int = 28) -> Column:
+    """``top / bottom`` rounded half up once; NULL when ``bottom`` is zero or NULL.
+
+    The result stays well below 38 digits so that sums of it keep their scale.
+    """
     wide = dec(24, 6)
     return F.try_divide(top.cast(wide), bottom.cast(wide)).cast(dec(precision, scale))
 
