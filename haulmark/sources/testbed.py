@@ -153,7 +153,7 @@ SELECT p_partkey AS cr_rate_id, CAST({_carrier('p_partkey')} AS BIGINT) AS cr_ca
   {_flag('p_partkey', 41)} AS is_deleted
 FROM [[part]]""",
     "tms_vendor": f"""
-SELECT s_suppkey AS tms_vendor_id, 'V' || CAST(s_suppkey - s_suppkey % 4 AS STRING) AS vendor_number, s_name AS name,
+SELECT s_suppkey AS tms_vendor_id, 'V' || CAST(s_suppkey - s_suppkey % 8 AS STRING) AS vendor_number, s_name AS name,
   CASE WHEN s_suppkey % 14 = 13 THEN CAST(NULL AS BIGINT) ELSE s_suppkey - s_suppkey % 10 END AS remit_vendor,
   CAST({_whs('s_nationkey')} AS BIGINT) AS tms_whs_id,
   CAST(s_suppkey % 5 AS BIGINT) AS tms_allowance_type_id,
@@ -174,7 +174,7 @@ SELECT CAST({_whs('n_nationkey')} AS BIGINT) AS tms_whs_id, 'W' || CAST(100 + n_
   'Gate ' || CAST(n_nationkey AS STRING) AS address1, 'Metro ' || CAST(n_nationkey AS STRING) AS city,
   CAST(30000 + n_nationkey AS STRING) AS zip, 'dock' || CAST(n_nationkey AS STRING) || '@example.com' AS backhaul_email,
   CASE WHEN n_nationkey % 10 = 9 THEN CAST({_whs('(n_nationkey - 1)')} AS BIGINT) END AS campus_whs_id,
-  {_flag('n_nationkey', 4, 2, 1)} AS include_in_freight_pricing,
+  CASE WHEN n_nationkey % 9 = 3 THEN CAST(NULL AS BOOLEAN) ELSE n_nationkey % 3 <> 1 END AS include_in_freight_pricing,
   CAST(CASE WHEN n_nationkey = 21 THEN TRUE END AS BOOLEAN) AS is_deleted
 FROM [[nation]]""",
     "whs_reference_data": f"""
