@@ -174,7 +174,7 @@ SELECT CAST({_whs('n_nationkey')} AS BIGINT) AS tms_whs_id, 'W' || CAST(100 + n_
   'Gate ' || CAST(n_nationkey AS STRING) AS address1, 'Metro ' || CAST(n_nationkey AS STRING) AS city,
   CAST(30000 + n_nationkey AS STRING) AS zip, 'dock' || CAST(n_nationkey AS STRING) || '@example.com' AS backhaul_email,
   CASE WHEN n_nationkey % 10 = 9 THEN CAST({_whs('(n_nationkey - 1)')} AS BIGINT) END AS campus_whs_id,
-  CASE WHEN n_nationkey % 9 = 3 THEN CAST(NULL AS BOOLEAN) ELSE n_nationkey % 3 <> 1 END AS include_in_freight_pricing,
+  CASE WHEN n_nationkey % 10 = 4 THEN CAST(NULL AS BOOLEAN) ELSE n_nationkey <> 7 END AS include_in_freight_pricing,
   CAST(CASE WHEN n_nationkey = 21 THEN TRUE END AS BOOLEAN) AS is_deleted
 FROM [[nation]]""",
     "whs_reference_data": f"""
@@ -313,8 +313,8 @@ FROM [[part]]""",
     "fp_freight_form_vendor": f"""
 SELECT k AS fp_freight_form_vendor_id, p_partkey AS fp_freight_form_id,
   CASE WHEN k % 26 = 9 THEN CAST(NULL AS BIGINT) ELSE s_suppkey END AS tms_vendor_id,
-  CASE WHEN k % 27 = 8 THEN CAST(999 AS BIGINT) WHEN k % 8 = 5 THEN CAST(12 AS BIGINT) ELSE CAST({_whs('s_nationkey')} AS BIGINT) END AS tms_whs_id,
-  CASE WHEN k % 10 = 4 AND p_partkey % 3 = 0 THEN CAST(NULL AS BIGINT) ELSE p_partkey * 2 + k % 2 END AS fp_ff_pickup_locations_id,
+  CASE WHEN k % 81 = 8 THEN CAST(999 AS BIGINT) WHEN k % 8 = 5 THEN CAST(12 AS BIGINT) ELSE CAST({_whs('s_nationkey')} AS BIGINT) END AS tms_whs_id,
+  CASE WHEN k % 30 = 4 THEN CAST(NULL AS BIGINT) ELSE p_partkey * 2 + k % 2 END AS fp_ff_pickup_locations_id,
   CASE WHEN k % 4 = 1 THEN k % 1000 END AS cr_rate_id, CAST(NULL AS BIGINT) AS fp_ff_crossdock_stops_id,
   CASE WHEN k % 31 = 6 THEN CAST(NULL AS BIGINT) ELSE 1 + k % 5 END AS fp_ff_method_id,
   CASE WHEN k % 3 <> 0 THEN CAST({_whs('(k + 7)')} AS BIGINT) END AS crossdock_whs_id,
@@ -389,8 +389,8 @@ FROM [[nation]]""",
     "submissions": """
 SELECT p_partkey AS fp_freight_form_id, (p_partkey * 3) % (SELECT COUNT(*) FROM [[customer]]) AS user_id,
   CASE p_partkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS send_to_backhaul,
-  CAST((p_partkey * 5) % (SELECT COUNT(*) FROM [[supplier]]) AS STRING) || ',' || CAST((p_partkey * 5 + 17) % (SELECT COUNT(*) FROM [[supplier]]) AS STRING)
-    || ',' || CAST((p_partkey * 5 + 34) % (SELECT COUNT(*) FROM [[supplier]]) AS STRING) AS vendor_numbers,
+  CASE WHEN p_partkey % 4 = 0 THEN CAST((p_partkey * 5) % (SELECT COUNT(*) FROM [[supplier]]) AS STRING) || ',' || CAST((p_partkey * 5 + 17) % (SELECT COUNT(*) FROM [[supplier]]) AS STRING)
+    || ',' || CAST((p_partkey * 5 + 34) % (SELECT COUNT(*) FROM [[supplier]]) AS STRING) END AS vendor_numbers,
   CASE WHEN p_partkey % 7 = 0 THEN CAST(NULL AS BIGINT) ELSE p_partkey - p_partkey % 10 + CASE WHEN p_partkey % 40 = 1 THEN 1 ELSE 0 END END AS remit_number,
   CASE p_partkey % 5 WHEN 0 THEN 'UBS_2002-01-01,WBS_2002-02-01' WHEN 1 THEN 'WBS_2002-03-01' WHEN 2 THEN 'UBS_' WHEN 3 THEN 'ALB_1999-01-01,UBS_2002-01-05'
     ELSE 'UBS_2002-01-01,WBS_2002-01-01,ALB_2002-01-01,TFF_2002-01-01,UCS_2002-01-01' END AS source_system_dates,
