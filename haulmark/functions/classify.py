@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark import constants as K
-from haulmark.functions.numbers import dec, or_zero, ratio
+from haulmark.functions.numbers import dec, or_zero, row_ratio
 from haulmark.functions.predicates import days_between, minutes_between
 
 
@@ -92,7 +92,7 @@ def po_revenue(freight: Column, allowance: Column) -> Column:
 
 def per_lb(amount: Column, weight: Column) -> Column:
     """Amount per pound; 0 when the weight is not above zero."""
-    return F.when(weight > 0, ratio(amount, weight, 6, 20)).otherwise(F.lit(0).cast(dec(20, 6)))
+    return F.when(weight > 0, row_ratio(amount, weight)).otherwise(F.lit(0).cast(dec(20, 6)))
 
 
 def fpa_pallets_of(pallets: Column, weight: Column, cubes: Column) -> Column:

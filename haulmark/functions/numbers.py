@@ -32,6 +32,14 @@ def ratio(top: Column, bottom: Column, scale: int = 6, precision: int = 28) -> C
     return F.try_divide(top.cast(wide), bottom.cast(wide)).cast(dec(precision, scale))
 
 
+def row_ratio(top: Column, bottom: Column, scale: int = 6, precision: int = 20) -> Column:
+    """``ratio`` for row-level amounts of up to 20 digits: no widening casts, and a
+    zero amount skips the division, which is the costly part of a wide row."""
+    return F.when(top == 0, F.when(bottom != 0, F.lit(0).cast(dec(precision, scale)))).otherwise(
+        F.try_divide(top, bottom).cast(dec(precision, scale))
+    )
+
+
 def share(part: Column, whole: Column, amount: Column) -> Column:
     """The part's share of ``amount``; NULL unless the whole is above zero."""
     return F.when(

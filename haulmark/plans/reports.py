@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from haulmark import constants as K
 from haulmark.functions import classify as cl
-from haulmark.functions.numbers import dec, or_zero, ratio
+from haulmark.functions.numbers import dec, or_zero, row_ratio
 from haulmark.functions.predicates import (
     pickup_day_name,
     ci,
@@ -146,9 +146,16 @@ def supplier_billing_report(
     )
     wide = C.load_and_bill_counts(wide, t["lo_po_loads"], t["lo_loads"], t["bl_bill_pos"])
     weight = F.col("po_weight")
-    revenue = cl.po_revenue(F.col("prod_frt"), F.col("allowance"))
     paid, hauled = or_zero(F.col("freight_paid_po")), or_zero(F.col("backhaul_expense_po"))
-    inbound_lb = cl.per_lb(hauled, weight) + cl.per_lb(paid, weight)
+    # Each division once; several output columns share them.
+    wide = wide.withColumn("revenue", cl.po_revenue(F.col("prod_frt"), F.col("allowance"))).withColumns(
+        {
+            "revenue_lb": cl.per_lb(F.col("revenue"), weight),
+            "hauled_lb": cl.per_lb(hauled, weight),
+            "paid_lb": cl.per_lb(paid, weight),
+        }
+    )
+    revenue, inbound_lb = F.col("revenue"), F.col("hauled_lb") + F.col("paid_lb")
     four, six = dec(20, 4), dec(20, 6)
     return wide.select(
         "po_number",
@@ -166,7 +173,7 @@ def supplier_billing_report(
         *[address(c).alias(c) for c in ("address1", "city", "state", "zip")],
         "receive_date",
         revenue.alias("total_revenue"),
-        cl.per_lb(revenue, weight).alias("total_revenue_lb"),
+        F.col("revenue_lb").alias("total_revenue_lb"),
         F.when(F.col("backhauled"), "Backhauled").alias("backhaul_indicator"),
         "backhaul_expense_po",
         "po_destination",
@@ -178,17 +185,17 @@ def supplier_billing_report(
         "alt_rte_1",
         cl.po_type(F.col("keep").isNotNull()).alias("po_type"),
         paid.cast(four).alias("total_freight_paid_po"),
-        cl.per_lb(paid, weight).alias("total_freight_paid_lb"),
+        F.col("paid_lb").alias("total_freight_paid_lb"),
         "buyer_name",
         "sales_region",
         "source_system",
         "commodity_code_description",
         "order_type_description",
-        cl.per_lb(hauled, weight).alias("backhaul_expense_lb"),
+        F.col("hauled_lb").alias("backhaul_expense_lb"),
         (hauled + paid.cast(four)).cast(four).alias("total_inbound_expense_po"),
         inbound_lb.cast(six).alias("total_inbound_expense_lb"),
         (revenue - (hauled + paid.cast(four))).cast(four).alias("inbound_profitability_po"),
-        (cl.per_lb(revenue, weight) - inbound_lb).cast(six).alias("inbound_profitability_lb"),
+        (F.col("revenue_lb") - inbound_lb).cast(six).alias("inbound_profitability_lb"),
     )
 
 
@@ -311,7 +318,7 @@ def supplier_performance(t: Tables, start, end, remit=None, vendor=None, warehou
         *_performance_columns(expense, backhaul),
         levels.alias("protection_level"),
         F.when(open_bill, margin).otherwise(0).cast(dec(18, 3)).alias("margin_po"),
-        F.when(open_bill, F.coalesce(ratio(margin, or_zero(F.col("prod_frt")), 6), F.lit(0)))
+        F.when(open_bill, F.coalesce(row_ratio(margin, or_zero(F.col("prod_frt"))), F.lit(0)))
         .cast(dec(18, 3))
         .alias("margin_po_pct"),
         F.to_date("rec_date").alias("rec_date"),
@@ -350,7 +357,7 @@ def supplier_scorecard(
         cl.protection_level(F.col("frz_units"), F.col("chl_units")).alias("protection_level"),
         F.col("appointment_status"),
         F.when(open_bill, revenue - inbound).otherwise(0).cast(dec(18, 3)).alias("margin_po"),
-        F.when(open_bill & (inbound != 0), F.coalesce(ratio(revenue - inbound, revenue, 6), F.lit(0)))
+        F.when(open_bill & (inbound != 0), F.coalesce(row_ratio(revenue - inbound, revenue), F.lit(0)))
         .otherwise(revenue)
         .cast(dec(20, 6))
         .alias("margin_po_pct"),
@@ -442,13 +449,19 @@ def supplier_expense_by_mode(
     rate = F.when(
         F.col("dis_whs_id") == F.col("destination_whs_id"), F.col("backhaul_rate")
     ).otherwise(F.col("cross_dock_rate"))
-    hauled = F.when(F.col("backhauled") & (pallets > 0), pallets * rate)
+    wide = wide.withColumns(
+        {
+            "hauled": F.when(F.col("backhauled") & (pallets > 0), pallets * rate).cast(dec(18, 3)),
+            "revenue": cl.po_revenue(F.col("prod_frt"), F.col("allowance")),
+        }
+    )
+    hauled = F.col("hauled")
     weight, freight = F.col("total_weight"), or_zero(F.col("freight_paid_po"))
-    revenue = cl.po_revenue(F.col("prod_frt"), F.col("allowance"))
+    revenue = F.col("revenue")
     inbound = freight + or_zero(hauled)
 
     def per_lb(value: Column) -> Column:
-        return ratio(value, weight, 3, 18)
+        return row_ratio(value, weight, 3, 18)
 
     return wide.select(
         "po_number",

@@ -416,9 +416,9 @@ def _series(sql: str, form: str) -> str:
     return "".join(out) + sql[pos:]
 
 
-def spark_sql_of(name: str, sf_dir: str) -> str:
+def spark_sql_of(name: str, view_of) -> str:
     sql = _series(TABLES[name], "explode(sequence({}))")
-    return re.sub(r"\[\[(\w+)\]\]", lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", sql)
+    return re.sub(r"\[\[(\w+)\]\]", lambda m: view_of(m[1]), sql)
 
 
 def check_sql_of(name: str) -> str:
@@ -427,16 +427,31 @@ def check_sql_of(name: str) -> str:
     return re.sub(r"\[\[(\w+)\]\]", r"\1", sql)
 
 
+# Resolved plans per session and folder: a table is parsed and its footer read once.
+_FRAMES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 class TestBed(Mapping):
     """Lazy name → DataFrame mapping over the derived freight tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir.rstrip("/")
+        session = f"{spark.sparkContext.applicationId}-{id(spark)}"
+        self._frames = _FRAMES.setdefault((session, self._dir), {})
+
+    def _view(self, source: str) -> str:
+        name = "src_" + re.sub(r"\W+", "_", f"{self._dir}_{source}")
+        if source not in self._frames:
+            self._frames[source] = self._spark.read.parquet(f"{self._dir}/{source}.parquet")
+            self._frames[source].createOrReplaceTempView(name)
+        return name
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in SOURCES:
-            return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
-        return self._spark.sql(spark_sql_of(name, self._dir))
+            self._view(name)
+        elif name not in self._frames:
+            self._frames[name] = self._spark.sql(spark_sql_of(name, self._view))
+        return self._frames[name]
 
     def __iter__(self):
         return iter(TABLES)
