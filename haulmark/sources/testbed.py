@@ -219,7 +219,7 @@ FROM [[region]]""",
     "bl_budget_data": f"""
 SELECT CAST(budget_year AS INT) AS budget_year, CAST(budget_period AS INT) AS budget_period,
   CASE r_regionkey WHEN 2 THEN 'ubs' ELSE {_system('r_regionkey')} END AS source_system,
-  CAST(100000 + 1000 * budget_period + 100 * r_regionkey + 10 * version AS DECIMAL(18, 2)) AS budget_collect_lbs,
+  CAST(100000 + 1000 * budget_period + 100 * r_regionkey + 10 * version + orders AS DECIMAL(18, 2)) AS budget_collect_lbs,
   CAST(40000 + 900 * budget_period + 70 * version AS DECIMAL(18, 2)) AS budget_vsp_lbs,
   CAST(9000 + 17 * budget_period + budget_year AS DECIMAL(18, 2)) AS budget_booked_freight,
   CAST(1500 + 13 * r_regionkey + version AS DECIMAL(18, 2)) AS budget_allowance,
@@ -228,12 +228,14 @@ SELECT CAST(budget_year AS INT) AS budget_year, CAST(budget_period AS INT) AS bu
   CAST(39000 + 890 * budget_period + 7 * version AS DECIMAL(18, 2)) AS forecast_vsp_lbs,
   CAST(8800 + 15 * budget_period + version AS DECIMAL(18, 2)) AS forecast_booked_freight,
   CAST(1400 + 12 * r_regionkey AS DECIMAL(18, 2)) AS forecast_allowance,
-  CAST(6900 + 10 * budget_period + version AS DECIMAL(18, 2)) AS forecast_expense,
+  CAST(6900 + 10 * budget_period + version + orders AS DECIMAL(18, 2)) AS forecast_expense,
   CAST(1300 + 7 * budget_period + version AS DECIMAL(18, 2)) AS actual_east_allowance,
   CAST('1994-01-01' AS DATE) + CAST(version * 11 + budget_period AS INT) AS created_date
-FROM (SELECT r_regionkey, budget_year, budget_period, SERIES(1, 3) AS version FROM (
-  SELECT r_regionkey, budget_year, SERIES(1, 13) AS budget_period FROM (
-    SELECT r_regionkey, SERIES(1995, 2001) AS budget_year FROM [[region]]) y) p) v""",
+FROM (SELECT r_regionkey, budget_year, budget_period, orders, SERIES(1, 3) AS version FROM (
+  SELECT r_regionkey, budget_year, budget_period, COUNT(*) AS orders FROM (
+    SELECT CAST(o_orderkey % 5 AS INT) AS r_regionkey, CAST(extract(YEAR FROM o_orderdate) AS INT) AS budget_year,
+      CAST(LEAST(13, 1 + FLOOR((dayofyear(CAST(o_orderdate AS DATE)) - 1) / 28)) AS INT) AS budget_period FROM [[orders]]) o
+  GROUP BY r_regionkey, budget_year, budget_period) g) v""",
     "app_appointments": f"""
 SELECT o_orderkey AS app_appointment_id,
   CASE WHEN o_orderkey % 13 = 4 THEN CAST({_whs('o_custkey')} AS BIGINT) ELSE CAST({_whs('o_orderkey')} AS BIGINT) END AS tms_whs_id,
