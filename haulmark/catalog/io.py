@@ -14,7 +14,7 @@ from haulmark.sources import readers, schemas, sinks
 
 def _folder(t) -> str:
     """A fresh folder on the cluster's shared storage; a temporary one in tests."""
-    named = t._spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    named = t._spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return f"{named.rstrip('/')}/haulmark-{os.urandom(8).hex()}"
     return tempfile.mkdtemp(prefix="haulmark-io-")

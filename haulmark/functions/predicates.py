@@ -85,11 +85,19 @@ def positive_key(value: Column) -> Column:
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    """Minute boundaries crossed, so 00:00:59 to 00:31:00 counts 31."""
-    def minute(c: Column) -> Column:
-        return F.date_trunc("minute", c.cast("timestamp"))
+    """Minute boundaries crossed, so 00:00:59 to 00:31:00 counts 31.
 
-    return F.floor((F.unix_timestamp(minute(end)) - F.unix_timestamp(minute(start))) / 60)
+    Counted from days, hours and minutes, so no time zone enters.
+    """
+    def of_day(c: Column) -> Column:
+        return F.hour(c) * 60 + F.minute(c)
+
+    return (F.datediff(end, start) * 1440 + of_day(end) - of_day(start)).cast("bigint")
+
+
+def moment(value) -> Column:
+    """A fixed point in time, free of any time zone."""
+    return F.lit(str(value)).cast("timestamp_ntz")
 
 
 def days_between(start: Column, end: Column) -> Column:

@@ -14,6 +14,7 @@ from haulmark.functions.predicates import (
     code_list,
     contains_text,
     dollars,
+    moment,
     not_deleted,
     optional_in,
     pickup_day_number,
@@ -37,7 +38,12 @@ def _forms(df: DataFrame, form_ids) -> DataFrame:
 
 
 def pricing_dataset(t: Tables, form_ids=None, source_systems=None) -> DataFrame:
-    """The vendor rows of the forms as the host systems need them."""
+    """The vendor rows of the forms as the host systems need them.
+
+    ``source_systems`` is a list for all forms, or a DataFrame of form and system.
+    """
+    per_form = source_systems if isinstance(source_systems, DataFrame) else None
+    systems = None if per_form is not None else code_list(source_systems)
     forms = _forms(t["fp_freight_form"], form_ids).filter(not_deleted(F.col("is_implied_rate")))
     vsp = F.col("fp_ff_method_id") == K.VSP
     kind = or_zero(F.col("fp_ff_allowance_type_id"))
@@ -46,7 +52,7 @@ def pricing_dataset(t: Tables, form_ids=None, source_systems=None) -> DataFrame:
     whs = (
         t["tms_whs"]
         .select("tms_whs_id", "source_system")
-        .filter(optional_in(F.col("source_system"), code_list(source_systems)) & F.col("source_system").isNotNull())
+        .filter(optional_in(F.col("source_system"), systems) & F.col("source_system").isNotNull())
     )
     hosts = t["whs_reference_data"].select(
         "tms_whs_id", "source_system", F.col("whs_number").alias("host_warehouse")
@@ -66,6 +72,9 @@ def pricing_dataset(t: Tables, form_ids=None, source_systems=None) -> DataFrame:
             "left",
         )
     )
+    if per_form is not None:
+        wanted = per_form.select(FORM, ci(F.col("source_system")).alias("_system")).distinct()
+        rows = rows.withColumn("_system", ci(F.col("source_system"))).join(wanted, [FORM, "_system"], "left_semi")
     rate = blended_rate_of(
         F.col("source_system"), F.col("tms_whs_id"), F.col("proposed_freight_per_lb"), vsp, F.lit(0)
     )
@@ -168,7 +177,7 @@ def pricing_out(t: Tables, form_ids=None, source_systems=None, as_of=None) -> Da
         F.col("pickup_day").cast("int").alias("pickup_day"),
         "source_system",
     ).unionByName(added)
-    stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    stamp = F.current_timestamp().cast("timestamp_ntz") if as_of is None else moment(as_of)
     return records.withColumns(
         {
             "created_date": stamp,
@@ -466,7 +475,7 @@ ROW_LOG_COLUMNS = [
 
 def snapshot_forms(forms: DataFrame, vendors: DataFrame, who: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
     """Log rows of the forms in ``who`` (form id, user id, comment) and of their live rows."""
-    stamp = {"created_date": F.lit(as_of).cast("timestamp_ntz"), "created_by": F.col("_user")}
+    stamp = {"created_date": moment(as_of), "created_by": F.col("_user")}
     people = who.select(FORM, F.col("user_id").alias("_user"), F.col("comment").alias("_comment"))
     form_log = (
         forms.select(*FORM_LOG_COLUMNS)

@@ -8,6 +8,7 @@ number, a ``SYSTEM_date`` comma list and a comment.
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -16,9 +17,12 @@ from pyspark.sql import functions as F
 
 from haulmark import constants as K
 from haulmark.functions.numbers import dec, or_zero
-from haulmark.functions.predicates import ci, not_deleted
+from haulmark.functions.predicates import ci, moment, not_deleted
 from haulmark.operators.rates import blended_rate_of
 from haulmark.operators.shared import live, lowest
+from haulmark.plans.feeds import pricing_out, snapshot_forms
+from haulmark.session import cut_lineage
+from haulmark.sources.sinks import apply_updates
 
 FORM, ROW = "fp_freight_form_id", "fp_freight_form_vendor_id"
 Tables = Mapping[str, DataFrame]
@@ -401,7 +405,7 @@ def closed_vendor_rows(t: Tables, submissions: DataFrame, errors: DataFrame, as_
             F.coalesce("asked_date", "effective_date").alias("effective_date"),
             F.when(F.col("asked_date").isNotNull(), True).otherwise(F.col("processed_flag")).alias("processed_flag"),
             F.col("user_id").alias("modified_by"),
-            F.lit(as_of).cast("timestamp_ntz").alias("modified_date"),
+            moment(as_of).alias("modified_date"),
         )
     )
 
@@ -415,7 +419,7 @@ def closed_forms(t: Tables, submissions: DataFrame, errors: DataFrame, as_of: dt
         .otherwise(F.col("remit_number"))
         .alias("remit_number"),
         F.col("user_id").alias("modified_by"),
-        F.lit(as_of).cast("timestamp_ntz").alias("modified_date"),
+        moment(as_of).alias("modified_date"),
     )
 
 
@@ -446,7 +450,7 @@ def closed_vendor_rates(t: Tables, submissions: DataFrame, errors: DataFrame, as
             "tms_vendor_id",
             F.col("row.rate").alias("booked_freight_per_lb"),
             F.col("row.user").alias("modified_by"),
-            F.lit(as_of).cast("timestamp_ntz").alias("modified_date"),
+            moment(as_of).alias("modified_date"),
         )
     )
 
@@ -477,7 +481,7 @@ def advance_stage(t: Tables, submissions: DataFrame, errors: DataFrame, as_of: d
     )
     for before, after in NEXT_STATE.items():
         step = step.when(status == before, after)
-    stamp = F.lit(as_of).cast("timestamp_ntz")
+    stamp = moment(as_of)
     forms = t["fp_freight_form"].select(FORM, "tms_status_id", "fp_ff_type_id", "submit_date")
     return (
         forms.join(submissions.select(FORM, "user_id", "send_to_backhaul"), FORM)
@@ -536,3 +540,40 @@ def backhaul_requests(t: Tables, form_ids: DataFrame | None = None) -> DataFrame
         )
         .withColumn("volume_text", F.concat(F.format_number("total_weight", 3), F.lit(" LBS, "), F.format_number("total_pallets", 0), F.lit(" Pallets")))
     )
+
+
+def submit_forms(t: Tables, submissions: DataFrame, as_of: dt.datetime) -> dict[str, DataFrame]:
+    """Everything a batch of submissions leads to.
+
+    ``errors``, the new versions of the three changed tables (``forms``,
+    ``vendor_rows``, ``vendors``), the log rows (``form_log``, ``row_log``) of
+    forms that moved on, and the outbound records of closed forms
+    (``pricing_out``; new forms are not sent). The errors decide every other
+    result, so they are written once and read back.
+    """
+    errors = cut_lineage(validate_forms(t, submissions, as_of.date()))
+    moves = advance_stage(t, submissions, errors, as_of)
+    rows = apply_updates(
+        t["fp_freight_form_vendor"], closed_vendor_rows(t, submissions, errors, as_of), [ROW]
+    )
+    forms = apply_updates(t["fp_freight_form"], closed_forms(t, submissions, errors, as_of), [FORM])
+    steps = moves.select(FORM, F.col("next_status_id").alias("tms_status_id"), "submit_date", "modified_by", "modified_date")
+    forms = apply_updates(forms, steps, [FORM])
+    vendors = apply_updates(
+        t["tms_vendor"], closed_vendor_rates(t, submissions, errors, as_of), ["tms_vendor_id"]
+    )
+    moved = submissions.join(
+        moves.filter(F.col("next_status_id") != F.col("tms_status_id")).select(FORM), FORM, "left_semi"
+    )
+    form_log, row_log = snapshot_forms(forms, rows, moved, as_of)
+    sent = _closable(t, submissions, errors).filter("fp_ff_type_id <> 1")
+    after = ChainMap({"fp_freight_form": forms, "fp_freight_form_vendor": rows, "tms_vendor": vendors}, t)
+    return {
+        "errors": errors,
+        "forms": forms,
+        "vendor_rows": rows,
+        "vendors": vendors,
+        "form_log": form_log,
+        "row_log": row_log,
+        "pricing_out": pricing_out(after, sent, parse_effective_dates(sent), as_of),
+    }

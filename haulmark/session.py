@@ -28,8 +28,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir``; a temporary one is
     made only where the session names none, as in tests.
     """
-    context = df.sparkSession.sparkContext
+    session = df.sparkSession
+    context = session.sparkContext
     if not context.getCheckpointDir():
-        named = context.getConf().get("spark.checkpoint.dir", None)
+        named = session.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="haulmark-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.functions.predicates import moment
+
 
 def append_audited(df: DataFrame, path: str, as_of=None, created_by: int | None = None) -> None:
     """Append rows with their creation time (and user)."""
-    stamp = F.current_timestamp() if as_of is None else F.lit(as_of)
-    out = df if "created_date" in df.columns else df.withColumn("created_date", stamp.cast("timestamp_ntz"))
+    stamp = F.current_timestamp().cast("timestamp_ntz") if as_of is None else moment(as_of)
+    out = df if "created_date" in df.columns else df.withColumn("created_date", stamp)
     if created_by is not None:
         out = out.withColumn("created_by", F.lit(created_by).cast("bigint"))
     out.write.mode("append").parquet(path)

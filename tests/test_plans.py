@@ -1,0 +1,45 @@
+"""What the physical plans must not contain, and what they must."""
+
+import pytest
+
+from haulmark.catalog import load_all
+from tests.conftest import SF_DIR
+
+QUERIES, _ = load_all()
+MAIN = [
+    "allocate_invoices", "not_fully_billed", "backhaul_expense", "unbilled_expense", "weekly_vendor_metrics", "weekly_margin_loss",
+    "supplier_billing_report", "supplier_performance", "supplier_scorecard", "supplier_expense_by_mode", "budget_variance", "reprice",
+    "blended_rates", "pricing_out", "allowance_list", "vendor_warehouse_list", "form_summary", "validate_forms", "backhaul_requests",
+]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", MAIN)
+def test_no_cross_join_no_key_window_no_python(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window ", "ArrowEvalPython", "BatchEvalPython"):
+        assert node not in plan, node
+
+
+def test_date_window_and_columns_reach_the_scan(spark, bed):
+    from pyspark.sql import functions as F
+
+    from haulmark.functions.predicates import in_dates
+
+    orders = bed["lo_purchase_orders"].filter(in_dates("rec_date", "1996-01-01", "1996-12-31"))
+    plan = plan_of(orders.select("lo_purchase_order_id", F.col("total_weight")))
+    assert "GreaterThanOrEqual(l_shipdate,1996-01-01" in plan
+    assert "LessThan(l_shipdate,1997-01-01" in plan
+    assert "l_extendedprice" not in plan and "l_returnflag" not in plan
+
+
+def test_no_hint_forces_a_broadcast():
+    import pathlib
+
+    root = pathlib.Path(__file__).parent.parent / "haulmark"
+    for file in root.rglob("*.py"):
+        text = file.read_text()
+        assert "broadcast(" not in text and ".crossJoin(" not in text and "localCheckpoint" not in text, file
