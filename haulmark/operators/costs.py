@@ -79,7 +79,8 @@ def allocate_invoices_by_system(
 
     ``pos`` carries ``window_start`` of its source system; every window ends on
     ``as_of``, so a bill is inside a system's window when its latest receipt up
-    to that day is. Shares are taken among the system's own orders only.
+    to that day is, whatever system that order has. Shares are taken among the
+    system's own orders only.
     """
     linked = live(bill_pos).select(PO, LOAD, BILL).join(
         pos.select(
@@ -91,19 +92,27 @@ def allocate_invoices_by_system(
     sharing = F.coalesce(F.col("tms_status_id") != K.PO_EXCLUDED, F.lit(False)) & F.col(
         "system"
     ).isNotNull()
-    latest = linked.groupBy(BILL).agg(
-        F.max(F.when(F.col("received") <= F.lit(as_of), F.col("received"))).alias("latest_receipt")
+    # One row per bill and system first, then one per bill with its few systems.
+    per_system = linked.groupBy(BILL, "system").agg(
+        F.sum(F.when(sharing, F.col("total_weight"))).alias("bill_weight"),
+        F.max("window_start").alias("opens"),
+        F.max(F.when(F.col("received") <= F.lit(as_of), F.col("received"))).alias("latest"),
     )
     priced = (
-        linked.filter(sharing)
-        .groupBy(BILL, "system")
-        .agg(F.sum("total_weight").alias("bill_weight"), F.max("window_start").alias("opens"))
-        .join(latest, BILL)
-        .filter(F.col("latest_receipt") >= F.col("opens"))
+        per_system.groupBy(BILL)
+        .agg(
+            F.max("latest").alias("latest"),
+            F.collect_list(
+                F.when(F.col("system").isNotNull(), F.struct("system", "bill_weight", "opens"))
+            ).alias("shares"),
+        )
         .join(
             bills.filter(~F.col("cr_carrier_id").isin(*skip_carriers)).select(BILL, "invoice_amount"),
             BILL,
         )
+        .select(BILL, "invoice_amount", "latest", F.inline("shares"))
+        .filter(F.col("latest") >= F.col("opens"))
+        .drop("latest", "opens")
     )
     return (
         linked.filter(sharing)

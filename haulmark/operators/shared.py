@@ -65,9 +65,9 @@ def join_by_code_or_default(
     code is NULL take the default row as well.
     """
     rows = table.select(ci(F.col("source_system")).alias("_code"), F.struct(*columns).alias("_own"))
-    fallback = rows.filter(F.col("_code") == default).select(F.col("_own").alias("_def")).limit(1)
+    fallback = rows.filter(F.col("_code") == default).select(F.col("_own").alias("_def"))
     joined = df.join(rows, ci(df[code]) == rows["_code"], "left")
-    spare = fallback.select(F.first("_def")).scalar()
+    spare = fallback.agg(F.min("_def")).scalar()
     picked = F.coalesce(F.col("_own"), spare)
     out = joined.withColumn("_pick", picked)
     return out.select(*df.columns, *[F.col(f"_pick.{c}").alias(c) for c in columns])

@@ -92,7 +92,6 @@ def supplier_billing_report(
             & optional_in(F.col("source_system"), code_list(source_systems))
             & optional_in(F.col("sales_region_id"), id_list(regions))
         )
-        .join(_gaps(t, start, end).select(PO), PO, "left_anti")
         .withColumnsRenamed({"total_weight": "po_weight", "rec_date": "receive_date"})
     )
     links = (
@@ -115,6 +114,9 @@ def supplier_billing_report(
         .agg(
             F.max(F.col("known").isNull() | by_backhaul_carrier | F.col("billed").isNotNull()).alias("keep"),
             F.max(cl.is_backhaul(F.col("cr_carrier_id"), F.col("source_whs_id"))).alias("backhauled"),
+            F.nullif(
+                F.count_distinct(F.when(F.col("known") & ~by_backhaul_carrier, F.col(LOAD))), F.lit(0)
+            ).cast("int").alias("load_count"),
             lowest(
                 {"name": F.col("load_destination")},
                 F.col(LOAD),
@@ -128,7 +130,8 @@ def supplier_billing_report(
         t["fiscal_calendar"], t["pallet_handling_rate"], F.ceil("total_pallets"), pick="one",
     ).select(PO, F.col("backhaul_expense_po").cast(dec(20, 5)).alias("backhaul_expense_po"))
     wide = (
-        orders.join(per_order, PO, "left")
+        orders.join(_gaps(t, start, end).select(PO), PO, "left_anti")
+        .join(per_order, PO, "left")
         .filter(F.coalesce(F.col("keep"), F.lit(True)))
         .join(freight, PO, "left")
         .join(backhaul, PO, "left")
@@ -144,7 +147,8 @@ def supplier_billing_report(
         .join(live(t["commodity_codes"]).select("commodity_code_id", "commodity_code_description"), "commodity_code_id", "left")
         .join(t["order_types"].select("order_type_id", "order_type_description"), "order_type_id", "left")
     )
-    wide = C.load_and_bill_counts(wide, t["lo_po_loads"], t["lo_loads"], t["bl_bill_pos"])
+    bill_counts = live(t["bl_bill_pos"]).groupBy(PO).agg(F.count_distinct(BILL).cast("int").alias("bill_count"))
+    wide = wide.join(bill_counts, PO, "left")
     weight = F.col("po_weight")
     paid, hauled = or_zero(F.col("freight_paid_po")), or_zero(F.col("backhaul_expense_po"))
     # Each division once; several output columns share them.

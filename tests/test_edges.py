@@ -64,6 +64,18 @@ def test_allocation_filters_system_before_sharing(spark):
     assert got[1] == D("1000.000000") and 2 not in got
 
 
+def test_allocation_per_system_opens_on_any_receipt(spark):
+    pos = spark.createDataFrame(
+        [(1, "A", D(10), OUT.replace(year=1999), 9, "UBS"), (2, "B", D(30), DAY, 9, None), (3, "C", D(5), OUT.replace(year=1999), 9, "WBS"), (4, "D", D(5), OUT.replace(year=1999), 9, "UBS")],
+        POS,
+    ).withColumn("window_start", F.when(F.col("source_system").isNotNull(), F.lit(dt.date(2000, 1, 1))))
+    links = spark.createDataFrame([(1, 1, 1, None), (2, 1, 1, None), (3, 1, 1, None), (4, 2, 2, None)], LINKS)
+    bills = spark.createDataFrame([(1, 500, D(90)), (2, 500, D(90))], BILLS)
+    got = by(C.allocate_invoices_by_system(pos, links, bills, dt.date(2000, 12, 31)), "lo_purchase_order_id", "freight_paid_po")
+    # the order without a system opens bill 1; each system shares the whole invoice; bill 2 stays shut
+    assert got == {1: D("90.000000"), 3: D("90.000000")}
+
+
 def test_allocation_holds_under_a_hot_bill_and_any_order(spark):
     n = 3000
     pos = spark.range(n).select(

@@ -29,6 +29,7 @@ def test_date_window_and_columns_reach_the_scan(spark, bed):
 
     from haulmark.functions.predicates import in_dates
 
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     orders = bed["lo_purchase_orders"].filter(in_dates("rec_date", "1996-01-01", "1996-12-31"))
     plan = plan_of(orders.select("lo_purchase_order_id", F.col("total_weight")))
     assert "GreaterThanOrEqual(l_shipdate,1996-01-01" in plan
