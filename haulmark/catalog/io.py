@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from haulmark.catalog.base import query
 from haulmark.functions.predicates import ci
+from haulmark.session import fresh_folder
 from haulmark.sources import readers, schemas, sinks
 
 
 def _folder(t) -> str:
-    """A fresh folder on the cluster's shared storage; a temporary one in tests."""
-    named = t._spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return f"{named.rstrip('/')}/haulmark-{os.urandom(8).hex()}"
-    return tempfile.mkdtemp(prefix="haulmark-io-")
+    """A fresh folder on the session's shared storage."""
+    return fresh_folder(t._spark)
 
 
 @query("s1_read_table", "SELECT bl_billing_id, cr_carrier_id, lo_load_number, invoice_amount FROM bl_billing", "invoice_amount")
