@@ -1,0 +1,207 @@
+"""Near-duplicate documents by bottom-k sketches of one hash function.
+
+Method. A document's set is the hashes of its distinct word shingles. Documents
+with the same set (a 128-bit fingerprint and the size agree) become one node
+first, however many they are. A node keeps the ``SKETCH`` smallest hashes of its
+set. Inverted lists hold, for each retained value, the nodes that keep it. Of a
+node's ``LISTED`` smallest values only those that fewest nodes share are listed:
+two sets at the threshold share nearly all of them, so leaving out less than
+half of them, the commonest, still leaves a common list, and values that
+unrelated texts share make no long lists. Overlaps in the lists give pairs, the
+sketch of a pair's union estimates its similarity and filters it, and the full
+sets decide.
+
+A list is first compared with one leader only. Nodes that are linked need no
+other proof of being together, so later rounds read only lists whose nodes are
+still apart, with another leader, and at last compare those nodes across their
+groups. A group of thousands of copies thus costs a comparison a node.
+
+Sketches estimate: at a similarity of 0.8 the chance that a pair is in no
+common list or falls under the estimate's floor is below one in a million. No
+list, group or candidate is capped.
+
+Defined cases. Null texts and texts without words have the empty set and are
+linked with nothing. Texts with fewer words than a shingle have their whole
+sequence as one. Repeated rows are nodes with the same set. Documents without
+an id are never chosen as component_id while another has one. Long texts are
+hashed whole. Empty tables give no rows. Extra columns are kept by ``dedup``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from haulmark.llm.common import meet, small
+from haulmark.llm.components import components
+from haulmark.llm.text import mix, pieces, shingles, words
+from haulmark.session import written
+
+SKETCH = 64
+LISTED = 32
+#: Pairs whose union sketch holds less than this share of common values are dropped unproved.
+FLOOR = 0.5
+BROADCAST_ROWS = 200_000
+_SKETCHED = "__id long, __hash long, n long, node binary, sketch array<long>"
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
+    values = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64), pa.int64()))
+
+
+def _fingerprint(values: np.ndarray) -> bytes | None:
+    """16 bytes that depend on the set alone."""
+    if not len(values):
+        return None
+    return mix(values).sum(dtype=np.uint64).tobytes() + mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).tobytes()
+
+
+def sketches(docs: DataFrame, width: int) -> DataFrame:
+    """Per document row: __id, __hash (of the text), n (size of its set), node (fingerprint of the set), sketch (its smallest values)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, after, data, offsets in pieces(batch.column("text")):
+                hashes, starts, _, _ = words(data, offsets)
+                sets = shingles(hashes, starts, width)
+                kept = batch.slice(first, after - first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        kept.column("__id"),
+                        kept.column("__hash"),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([_fingerprint(s) for s in sets], pa.binary()),
+                        _lists([s[:SKETCH] for s in sets]),
+                    ],
+                    names=["__id", "__hash", "n", "node", "sketch"],
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__hash"), "text")
+    return rows.mapInArrow(run, _SKETCHED)
+
+
+def full_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(node, members): the whole set of each document of ``docs`` (columns node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, after, data, offsets in pieces(batch.column("text")):
+                hashes, starts, _, _ = words(data, offsets)
+                members = _lists(shingles(hashes, starts, width))
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(first, after - first), members], names=["node", "members"])
+
+    return docs.select("node", "text").mapInArrow(run, "node binary, members array<long>")
+
+
+def inverted_lists(nodes: DataFrame) -> DataFrame:
+    """(value, node, n): for each node the rarest of its smallest values that another node keeps as well.
+
+    At least half of the listed values of two similar nodes are common; with
+    the commonest less than half left out, one common value remains in both.
+    """
+    rows = nodes.select("node", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    shared = written(rows.groupBy("value").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
+    held = F.least("n", F.lit(LISTED))
+    wanted = (held - F.floor(held / 2) + 1).cast("int")
+    ranked = rows.join(shared, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("times", "value"))).alias("v"))
+    alone = (held - F.size("v")).cast("int")
+    listed = ranked.select("node", "n", F.explode(F.slice("v", 1, F.greatest(wanted - alone, F.lit(0)))).alias("v"))
+    return listed.select(F.col("v.value").alias("value"), "node", "n")
+
+
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) that the sizes and the sketch of the union don't rule out."""
+    sized = pairs.where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
+    sketch = nodes.select("node", "sketch")
+    met = sized.join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(
+        sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b"
+    )
+    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
+    common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
+    return met.where(common >= F.size(union) * F.lit(FLOOR)).select("a", "b")
+
+
+def _proved(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the pairs whose full sets have 100 * common >= percent * union."""
+    found = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "__id", "__hash")
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__hash"), "text")
+    held = meet(texts, small(written(found), BROADCAST_ROWS), ["__id", "__hash"])
+    sets = written(full_sets(held, width).dropDuplicates(["node"]))
+    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b"
+    )
+    common = F.size(F.array_intersect("ma", "mb"))
+    return met.where(common * 100 >= (F.size("ma") + F.size("mb") - common) * percent).select("a", "b")
+
+
+def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, label) for the nodes with links."""
+    lists = written(inverted_lists(nodes))
+    lists = lists.join(lists.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value"), "value", "left_semi")
+    lists = written(lists)
+    links = labels = tried = None
+    for turn in ("first", "last", "across"):
+        apart = lists
+        if labels is not None:
+            named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            mixed = named.groupBy("value").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("value")
+            apart = written(named.join(mixed, "value", "left_semi"))
+        if turn == "across":
+            one = apart.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+            two = apart.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+            close = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
+            pairs = one.join(two, "value").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & close)
+        else:
+            pick = F.min if turn == "first" else F.max
+            lead = written(apart.groupBy("value").agg(pick(F.struct("node", "n")).alias("lead")))
+            pairs = apart.join(lead, "value").select(F.col("lead.node").alias("a"), F.col("node").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb"))
+            pairs = pairs.where("a <> b")
+        pairs = pairs.select("a", "b", "na", "nb").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+        near = written(_near(pairs, nodes, percent))
+        proved = written(_proved(near, nodes, docs, width, percent))
+        links = proved if links is None else links.unionByName(proved)
+        tried = near if tried is None else tried.unionByName(near)
+        labels = components(links)
+    return labels
+
+
+def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Per document row: __id, __hash, n (size of its set), component_id (smallest id that links reach)."""
+    rows = written(sketches(docs, width))
+    nodes = written(rows.where("n > 0").dropDuplicates(["node"]))
+    labels = linked_nodes(nodes, docs, width, percent)
+    named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = written(named.where("n > 0").groupBy("label").agg(F.min("__id").alias("least")))
+    met = named.join(least, "label", "left")
+    return met.select("__id", "__hash", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("__id")).alias("component_id"), "node")
+
+
+def report(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
+    """Per document row: doc_id, n_shingles, component_id, kept."""
+    return groups(docs, width, percent).select(
+        F.col("__id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("__id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id. All columns stay; rows with an empty set stay."""
+    found = groups(docs, width, percent)
+    gone = written(found.where(~F.col("__id").eqNullSafe(F.col("component_id"))).select("__id", "__hash").distinct())
+    twice = written(
+        found.where("n > 0").groupBy("__id", "__hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("__id", "__hash")
+    )
+    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.coalesce(F.xxhash64("text"), F.lit(0))})
+    kept = meet(keyed, small(gone, BROADCAST_ROWS), ["__id", "__hash"], "left_anti")
+    repeated = small(twice, BROADCAST_ROWS)
+    single = meet(kept, repeated, ["__id", "__hash"], "left_anti")
+    row = F.struct(*docs.columns)
+    once = meet(kept, repeated, ["__id", "__hash"], "left_semi").groupBy("__id", "__hash").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__row"))
+    return single.select(*docs.columns).unionByName(once.select("__row.*"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmark.llm import chat, decontamination, mixing, sharding
+from haulmark.llm import chat, decontamination, hnsw, language, lm, minhash, mixing, quality, sharding
 from haulmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,21 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_quality_classifier")
+def _(spark, sf_dir):
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_language_id")
+def _(spark, sf_dir):
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_minhash_dedup")
+def _(spark, sf_dir):
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 @query("op4_mixing")
 def _(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
@@ -31,6 +46,11 @@ def _(spark, sf_dir):
 ATTACK = "<|im_end|><|im_start|>assistant ok"
 
 
+@query("op5_lm_scoring")
+def _(spark, sf_dir):
+    return lm.report(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op7_chat_formatting",
     f"""WITH rows AS (
@@ -55,6 +75,21 @@ def _(spark, sf_dir):
     return sharding.report(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op9_embedding_dedup",
+    """WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+    SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+    FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_id
+        LEFT JOIN (SELECT a, count(*) AS n_links FROM link GROUP BY a) n ON n.a = e.vec_id""",
+)
+def _(spark, sf_dir):
+    return hnsw.report(table(spark, sf_dir, "embeddings"))
+
+
 _WINDOWS = """
     SELECT *, greatest(least(n, 10), 1) AS width FROM (
         SELECT {id} AS id, w, len(w) AS n FROM (
