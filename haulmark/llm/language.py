@@ -1,9 +1,9 @@
 """Language identification by compression with one zstandard dictionary per language.
 
 Method. Of each language some labelled documents, chosen by a hash of their id,
-are joined, up to ``DICTIONARY`` bytes, and become a raw-content dictionary. A text is compressed whole with every dictionary; the smallest
-output names the language. Long texts teach the compressor their own language
-after a while, which costs all dictionaries alike. The margin, by which the
+are joined, up to ``DICTIONARY`` bytes, and become a raw-content dictionary. A
+text is compressed whole with every dictionary, in pieces that each start from the dictionary alone, since a long text would else teach its language to
+every compressor; the smallest sum names the language. The margin, by which the
 second smallest exceeds the smallest, relative to the smallest, is the
 confidence; below ``narrow`` the answer is marked as rejected.
 
@@ -26,12 +26,21 @@ from pyspark.sql import functions as F
 
 from haulmark.llm.quality import held_out
 
-DICTIONARY = 64_000
-#: About so many documents of a language come to the driver to fill its dictionary; none is longer than an eighth of it.
-DOCUMENTS = 128
+DICTIONARY = 256_000
+#: About so many documents of a language come to the driver to fill its dictionary; none is longer than a ``SHORT``-th part of it.
+DOCUMENTS = 256
+SHORT = 32
 LEVEL = 3
+#: Texts are compressed in pieces of so many bytes, each from the dictionary alone, and the sizes added up.
+SEGMENT = 1_000
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
+
+
+def _encoded(text: str) -> bytes:
+    """Letters in lower case with single spaces for all else, so that case, digits and marks don't speak for a language."""
+    return _OTHER.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
 def dictionaries(docs: DataFrame, size: int = DICTIONARY, documents: int = DOCUMENTS) -> dict[str, bytes]:
@@ -40,14 +49,14 @@ def dictionaries(docs: DataFrame, size: int = DICTIONARY, documents: int = DOCUM
     The driver gets about ``documents`` short texts of each language, however many rows there are.
     """
     rank = F.xxhash64(F.lit(9), "doc_id", "text")
-    fitting = docs.where("lang is not null and octet_length(text) between 1 and " + str(size // 8))
+    fitting = docs.where("lang is not null and octet_length(text) between 1 and " + str(size // SHORT))
     counts = fitting.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     bound = F.least(F.lit(documents) / F.col("n"), F.lit(1.0)) * F.lit(2.0**63)
     near = counts.select("lang", bound.alias("bound"))
     rows = fitting.select("lang", "text", rank.alias("rank")).join(near, "lang").where("abs(cast(rank as double)) <= bound")
     out: dict[str, bytes] = {}
-    for row in sorted(rows.select("lang", "rank", "text").collect(), key=lambda r: (r["lang"], r["rank"], r["text"])):
-        out[row["lang"]] = (out.get(row["lang"], b"") + row["text"].encode("utf-8", "replace") + b"\n")[:size]
+    for row in sorted(rows.select("lang", "rank", "text").distinct().collect(), key=lambda r: (r["lang"], r["rank"], r["text"])):
+        out[row["lang"]] = (out.get(row["lang"], b"") + _encoded(row["text"]) + b" ")[:size]
     return out
 
 
@@ -69,8 +78,9 @@ def predicted(rows: DataFrame, learned: dict[str, bytes], narrow: float = 0.01,
                 if not tools or not text or not _LETTER.search(text):
                     langs.append(UNKNOWN), scores.append(0.0), rejected.append(True)
                     continue
-                raw = text.encode("utf-8", "replace")
-                sizes = np.array([len(t.compress(raw)) for t in tools], float)
+                raw = _encoded(text)
+                parts = [raw[i : i + SEGMENT] for i in range(0, len(raw), SEGMENT)]
+                sizes = np.array([sum(len(t.compress(p)) for p in parts) for t in tools], float)
                 best = int(np.argmin(sizes))
                 margin = (np.partition(sizes, 1)[1] - sizes[best]) / sizes[best] if len(sizes) > 1 else 1.0
                 langs.append(names[best]), scores.append(float(1 - 0.5 * np.exp(-20 * margin))), rejected.append(bool(margin < narrow))
