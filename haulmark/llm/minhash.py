@@ -11,10 +11,13 @@ unrelated texts share make no long lists. Overlaps in the lists give pairs, the
 sketch of a pair's union estimates its similarity and filters it, and the full
 sets decide.
 
-A list is first compared with one leader only. Nodes that are linked need no
-other proof of being together, so later rounds read only lists whose nodes are
-still apart, with another leader, and at last compare those nodes across their
-groups. A group of thousands of copies thus costs a comparison a node.
+A list is first compared with one leader only, the node whose values most
+others share, which in a family of edited copies is the text they stem from;
+then, where its nodes are still apart, with another. Nodes that are linked need
+no other proof of being together. What is apart after that is compared across
+groups: a node with every member of a large group whose lists it shares, by
+blocks of the group, on full sets inside the task; and the rest pair by pair. A
+group of thousands of copies thus costs about a comparison a node.
 
 Sketches estimate: at a similarity of 0.8 the chance that a pair is in no
 common list or falls under the estimate's floor is below one in a million. No
@@ -32,6 +35,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,13 +50,17 @@ LISTED = 32
 #: Pairs whose union sketch holds less than this share of common values are dropped unproved.
 FLOOR = 0.5
 BROADCAST_ROWS = 200_000
-_SKETCHED = "__id long, __hash long, n long, node binary, sketch array<long>"
+#: From so many members a group is compared as a whole, in blocks of so many members.
+LARGE, BLOCK = 32, 2_000
+_SKETCHED = "__id long, __hash long, n long, print binary, low array<long>, sketch array<int>"
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
+def _lists(rows: list[np.ndarray], half: bool = False) -> pa.Array:
+    """Rows of values as an Arrow list column; ``half`` keeps the upper 32 bits of each, in the same order."""
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
     values = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64), pa.int64()))
+    values = ((values >> np.uint64(32)).astype(np.int64) - (1 << 31)).astype(np.int32) if half else values.view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
 def _fingerprint(values: np.ndarray) -> bytes | None:
@@ -63,7 +71,7 @@ def _fingerprint(values: np.ndarray) -> bytes | None:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """Per document row: __id, __hash (of the text), n (size of its set), node (fingerprint of the set), sketch (its smallest values)."""
+    """Per document row: __id, __hash (of the text), n (size of its set), print (fingerprint of the set), low and sketch (its smallest values)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,9 +85,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                         kept.column("__hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_fingerprint(s) for s in sets], pa.binary()),
-                        _lists([s[:SKETCH] for s in sets]),
+                        _lists([s[:LISTED] for s in sets]),
+                        _lists([s[:SKETCH] for s in sets], half=True),
                     ],
-                    names=["__id", "__hash", "n", "node", "sketch"],
+                    names=["__id", "__hash", "n", "print", "low", "sketch"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__hash"), "text")
@@ -96,23 +105,24 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
                 members = _lists(shingles(hashes, starts, width))
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(first, after - first), members], names=["node", "members"])
 
-    return docs.select("node", "text").mapInArrow(run, "node binary, members array<long>")
+    return docs.select("node", "text").mapInArrow(run, "node long, members array<long>")
 
 
 def inverted_lists(nodes: DataFrame) -> DataFrame:
-    """(value, node, n): for each node the rarest of its smallest values that another node keeps as well.
+    """(value, node, n, degree): for each node the rarest of its smallest values that another node keeps as well.
 
     At least half of the listed values of two similar nodes are common; with
     the commonest less than half left out, one common value remains in both.
     """
-    rows = nodes.select("node", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    rows = nodes.select("node", "n", F.explode("low").alias("value"))
     shared = written(rows.groupBy("value").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
     held = F.least("n", F.lit(LISTED))
     wanted = (held - F.floor(held / 2) + 1).cast("int")
     ranked = rows.join(shared, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("times", "value"))).alias("v"))
     alone = (held - F.size("v")).cast("int")
-    listed = ranked.select("node", "n", F.explode(F.slice("v", 1, F.greatest(wanted - alone, F.lit(0)))).alias("v"))
-    return listed.select(F.col("v.value").alias("value"), "node", "n")
+    degree = F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["times"]).alias("degree")
+    listed = ranked.select("node", "n", degree, F.explode(F.slice("v", 1, F.greatest(wanted - alone, F.lit(0)))).alias("v"))
+    return listed.select(F.col("v.value").alias("value"), "node", "n", "degree")
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -127,12 +137,17 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return met.where(common >= F.size(union) * F.lit(FLOOR)).select("a", "b")
 
 
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, members) for the nodes of ``wanted``, from the text of one document of each."""
+    found = written(nodes.join(wanted, "node", "left_semi").select("node", "__id", "__hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__hash"), "text")
+    held = meet(texts, small(found, BROADCAST_ROWS), ["__id", "__hash"])
+    return written(full_sets(held, width).dropDuplicates(["node"]))
+
+
 def _proved(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the pairs whose full sets have 100 * common >= percent * union."""
-    found = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "__id", "__hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__hash"), "text")
-    held = meet(texts, small(written(found), BROADCAST_ROWS), ["__id", "__hash"])
-    sets = written(full_sets(held, width).dropDuplicates(["node"]))
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs, width)
     met = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b"
     )
@@ -140,48 +155,89 @@ def _proved(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, per
     return met.where(common * 100 >= (F.size("ma") + F.size("mb") - common) * percent).select("a", "b")
 
 
+def _with_large(apart: DataFrame, labels: DataFrame, large: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between a node and members of the large groups whose lists it shares; one for each node and block of a group."""
+    holds = apart.join(large.select("label"), "label").select("value", F.col("label").alias("group")).distinct()
+    asked = apart.join(holds, "value").where("label <> `group`").select("node", "group").distinct()
+    asked = written(asked.join(large.select(F.col("label").alias("group"), "blocks"), "group"))
+    members = labels.withColumnRenamed("label", "group").join(asked.select("group", "blocks").distinct(), "group")
+    members = written(members.select("group", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node"))
+    sets = _sets(asked.select("node").unionByName(members.select("node")).distinct(), nodes, docs, width)
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        if len(left) and len(right):
+            size = np.array([len(m) for m in right["members"]])
+            values, owner = np.concatenate(list(right["members"])), np.repeat(np.arange(len(size)), size)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            for node, own in zip(left["node"], left["own"], strict=True):
+                first, after = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                count = after - first
+                at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+                common = np.bincount(owner[at], minlength=len(size))
+                good = np.flatnonzero(common * 100 >= (len(own) + size - common) * percent)
+                if len(good):
+                    a.append(node), b.append(right["node"].iloc[int(good[0])])
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    spread = asked.select("group", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block"), "node")
+    left = spread.join(sets, "node").select(*[F.col(c).alias(c) for c in ("group", "block", "node")], F.col("members").alias("own"))
+    right = members.join(sets, "node").select(*[F.col(c).alias(c) for c in ("group", "block", "node", "members")])
+    return left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInPandas(compare, "a long, b long")
+
+
 def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, label) for the nodes with links."""
     lists = written(inverted_lists(nodes))
-    lists = lists.join(lists.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value"), "value", "left_semi")
-    lists = written(lists)
-    links = labels = tried = None
-    for turn in ("first", "last", "across"):
-        apart = lists
-        if labels is not None:
-            named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            mixed = named.groupBy("value").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("value")
-            apart = written(named.join(mixed, "value", "left_semi"))
-        if turn == "across":
-            one = apart.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-            two = apart.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-            close = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
-            pairs = one.join(two, "value").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & close)
-        else:
-            pick = F.min if turn == "first" else F.max
-            lead = written(apart.groupBy("value").agg(pick(F.struct("node", "n")).alias("lead")))
-            pairs = apart.join(lead, "value").select(F.col("lead.node").alias("a"), F.col("node").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb"))
-            pairs = pairs.where("a <> b")
-        pairs = pairs.select("a", "b", "na", "nb").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        near = written(_near(pairs, nodes, percent))
+    shared = lists.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
+    lists = written(lists.join(shared, "value", "left_semi"))
+    leaders = (F.struct("degree", "node", "n"), F.struct(F.xxhash64("node").alias("draw"), "node", "n"))
+    links = labels = None
+
+    def apart() -> DataFrame:
+        """List rows, with their group, of the lists whose nodes are in several groups."""
+        named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = named.groupBy("value").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("value")
+        return written(named.join(mixed, "value", "left_semi"))
+
+    for leader in leaders:
+        rows = lists if labels is None else apart()
+        lead = written(rows.groupBy("value").agg(F.max(leader).alias("lead")))
+        pairs = rows.join(lead, "value").select(
+            F.least("lead.node", "node").alias("a"),
+            F.greatest("lead.node", "node").alias("b"),
+            F.when(F.col("lead.node") < F.col("node"), F.col("lead.n")).otherwise(F.col("n")).alias("na"),
+            F.when(F.col("lead.node") < F.col("node"), F.col("n")).otherwise(F.col("lead.n")).alias("nb"),
+        )
+        near = written(_near(pairs.where("a < b").distinct(), nodes, percent))
         proved = written(_proved(near, nodes, docs, width, percent))
         links = proved if links is None else links.unionByName(proved)
-        tried = near if tried is None else tried.unionByName(near)
         labels = components(links)
-    return labels
+
+    rows = apart()
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
+    large = written(sizes.where(F.col("c") >= LARGE).select("label", F.ceil(F.col("c") / BLOCK).alias("blocks")))
+    by_group = written(_with_large(rows, labels, large, nodes, docs, width, percent))
+    rest = written(rows.join(large, "label", "left_anti"))
+    one = rest.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    two = rest.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    close = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
+    pairs = one.join(two, "value").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & close).select("a", "b", "na", "nb").distinct()
+    proved = written(_proved(written(_near(pairs, nodes, percent)), nodes, docs, width, percent))
+    return components(links.unionByName(by_group).unionByName(proved))
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per document row: __id, __hash, n (size of its set), component_id (smallest id that links reach)."""
     rows = written(sketches(docs, width))
-    nodes = written(rows.where("n > 0").dropDuplicates(["node"]))
-    labels = linked_nodes(nodes, docs, width, percent)
-    named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    nodes = written(rows.where("n > 0").dropDuplicates(["print"]).withColumn("node", F.monotonically_increasing_id()))
+    labels = nodes.select("print", "node").join(linked_nodes(nodes, docs, width, percent), "node", "left")
+    labels = written(labels.select("print", F.coalesce("label", "node").alias("label")))
+    named = rows.select("__id", "__hash", "n", "print").join(labels, "print", "left")
     least = written(named.where("n > 0").groupBy("label").agg(F.min("__id").alias("least")))
     met = named.join(least, "label", "left")
-    return met.select("__id", "__hash", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("__id")).alias("component_id"), "node")
+    return met.select("__id", "__hash", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("__id")).alias("component_id"))
 
 
 def report(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:

@@ -45,8 +45,10 @@ def test_pieces_cover_all_rows(monkeypatch):
     assert [g[1] for g in got] == [0, *[g[2] for g in got[:-1]]] and got[-1][2] == len(texts)
 
 
-@pytest.mark.parametrize("width", [2, 5])
-def test_near_duplicates_match_all_pairs(docs, rows, width):
+@pytest.mark.parametrize(("width", "large", "block"), [(2, 2, 3), (5, 32, 2000)])
+def test_near_duplicates_match_all_pairs(docs, rows, width, large, block, monkeypatch):
+    monkeypatch.setattr(minhash, "LARGE", large)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     sets = [(i, plain.shingle_set(t, width)) for i, t in rows]
     expected = plain.groups(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
     want = Counter((i, len(s), expected[i, s], expected[i, s] == i) for i, s in sets)
