@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1_000_000
+PIECE_BYTES = 250_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,8 +36,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Row ranges (first, after) of a string column with their bytes and the byte offset of each row; null is empty."""
+def pieces(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges (first, after) of a string column, of about ``size`` bytes, with their bytes and the byte offset of each row; null is empty."""
+    size = size or PIECE_BYTES
     column = column.cast(pa.large_string()).fill_null("")
     if not len(column):
         return
@@ -45,7 +46,7 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     first = 0
     while first < len(column):
-        after = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PIECE_BYTES, "right")) - 1)
+        after = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         after = min(after, len(column))
         yield first, after, data[offsets[first] : offsets[after]], offsets[first : after + 1] - offsets[first]
         first = after
