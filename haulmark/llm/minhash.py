@@ -3,25 +3,26 @@
 Method. A document's set is the hashes of its distinct word shingles. Documents
 with the same set (a 128-bit fingerprint and the size agree) become one node
 first, however many they are. A node keeps the ``SKETCH`` smallest hashes of its
-set. Inverted lists hold, for each retained value, the nodes that keep it. Of a
-node's ``LISTED`` smallest values only those that fewest nodes share are listed:
-two sets at the threshold share nearly all of them, so leaving out less than
-half of them, the commonest, still leaves a common list, and values that
-unrelated texts share make no long lists. Overlaps in the lists give pairs, the
-sketch of a pair's union estimates its similarity and filters it, and the full
-sets decide.
-
-A list is first compared with one leader only, the node whose values most
-others share, which in a family of edited copies is the text they stem from;
-then, where its nodes are still apart, with another. Nodes that are linked need
-no other proof of being together. What is apart after that is compared across
+set. Inverted lists hold the nodes that retain the same two values next to each
+other in the order of the hash; values that unrelated texts share seldom lie
+side by side in both. Two sets at the threshold share most such neighbours, so
+of a node's neighbours the commonest few are left out and a common list still
+remains. Overlaps in the lists give pairs, the sketch of a pair's union
+estimates its similarity and filters it, and the full sets decide.
+
+A node is first compared with one leader only, of those in its lists the one
+whose neighbours most others share, which in a family of edited copies is the
+text they stem from; then, where the nodes of a list are still apart, with the
+leader of each such list, and then with another. Nodes that are linked need no
+other proof of being together. What is apart after that is compared across
 groups: a node with every member of a large group whose lists it shares, by
 blocks of the group, on full sets inside the task; and the rest pair by pair. A
 group of thousands of copies thus costs about a comparison a node.
 
 Sketches estimate: at a similarity of 0.8 the chance that a pair is in no
-common list or falls under the estimate's floor is below one in a million. No
-list, group or candidate is capped.
+common list or falls under the estimate's floor is below one in a million, and
+nil for sets that the listed part of the sketch holds whole. No list, group or
+candidate is capped.
 
 Defined cases. Null texts and texts without words have the empty set and are
 linked with nothing. Texts with fewer words than a shingle have their whole
@@ -46,7 +47,10 @@ from haulmark.llm.text import mix, pieces, shingles, words
 from haulmark.session import written
 
 SKETCH = 64
-LISTED = 32
+#: Neighbours among so many of the smallest values are listed, but for the commonest sixth of them.
+LISTED, LEFT_OUT = 48, 6
+#: Under this similarity neighbours are too seldom common, and single values are listed.
+NEIGHBOURS_FROM = 75
 #: Pairs whose union sketch holds less than this share of common values are dropped unproved.
 FLOOR = 0.5
 BROADCAST_ROWS = 200_000
@@ -70,8 +74,14 @@ def _fingerprint(values: np.ndarray) -> bytes | None:
     return mix(values).sum(dtype=np.uint64).tobytes() + mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).tobytes()
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """Per document row: __id, __hash (of the text), n (size of its set), print (fingerprint of the set), low and sketch (its smallest values)."""
+def _keys(values: np.ndarray, run: int) -> np.ndarray:
+    """One number for each ``run`` (1 or 2) of neighbours among the smallest values."""
+    low = values[:LISTED]
+    return low if run == 1 else mix(low[:-1]) ^ low[1:]
+
+
+def sketches(docs: DataFrame, width: int, run_length: int = 2) -> DataFrame:
+    """Per document row: __id, __hash (of the text), n (size of its set), print (fingerprint of the set), low (list keys), sketch (its smallest values)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,7 +95,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                         kept.column("__hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_fingerprint(s) for s in sets], pa.binary()),
-                        _lists([s[:LISTED] for s in sets]),
+                        _lists([_keys(s, run_length) for s in sets]),
                         _lists([s[:SKETCH] for s in sets], half=True),
                     ],
                     names=["__id", "__hash", "n", "print", "low", "sketch"],
@@ -109,19 +119,17 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def inverted_lists(nodes: DataFrame) -> DataFrame:
-    """(value, node, n, degree): for each node the rarest of its smallest values that another node keeps as well.
+    """(value, node, n, degree): for each node its list keys that another node has as well, without the commonest sixth of all its keys.
 
-    At least half of the listed values of two similar nodes are common; with
-    the commonest less than half left out, one common value remains in both.
+    Two similar nodes have more keys in common than either leaves out, so the
+    rarest common one remains in both.
     """
-    rows = nodes.select("node", "n", F.explode("low").alias("value"))
+    rows = nodes.select("node", "n", F.size("low").alias("held"), F.explode("low").alias("value"))
     shared = written(rows.groupBy("value").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
-    held = F.least("n", F.lit(LISTED))
-    wanted = (held - F.floor(held / 2) + 1).cast("int")
-    ranked = rows.join(shared, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("times", "value"))).alias("v"))
-    alone = (held - F.size("v")).cast("int")
+    ranked = rows.join(shared, "value").groupBy("node", "n", "held").agg(F.array_sort(F.collect_list(F.struct("times", "value"))).alias("v"))
+    wanted, alone = F.col("held") - F.floor(F.col("held") / LEFT_OUT), F.col("held") - F.size("v")
     degree = F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["times"]).alias("degree")
-    listed = ranked.select("node", "n", degree, F.explode(F.slice("v", 1, F.greatest(wanted - alone, F.lit(0)))).alias("v"))
+    listed = ranked.select("node", "n", degree, F.explode(F.slice("v", 1, F.greatest(wanted - alone, F.lit(0)).cast("int"))).alias("v"))
     return listed.select(F.col("v.value").alias("value"), "node", "n", "degree")
 
 
@@ -192,7 +200,6 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) ->
     lists = written(inverted_lists(nodes))
     shared = lists.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
     lists = written(lists.join(shared, "value", "left_semi"))
-    leaders = (F.struct("degree", "node", "n"), F.struct(F.xxhash64("node").alias("draw"), "node", "n"))
     links = labels = None
 
     def apart() -> DataFrame:
@@ -201,16 +208,20 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) ->
         mixed = named.groupBy("value").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("value")
         return written(named.join(mixed, "value", "left_semi"))
 
-    for leader in leaders:
-        rows = lists if labels is None else apart()
-        lead = written(rows.groupBy("value").agg(F.max(leader).alias("lead")))
-        pairs = rows.join(lead, "value").select(
+    for order in (F.col("degree"), F.col("degree"), F.xxhash64("node")):
+        rows = lists.withColumn("label", F.col("node")) if labels is None else apart()
+        lead = rows.groupBy("value").agg(F.max(F.struct(order.alias("by"), "node", "n", "label")).alias("lead"))
+        led = rows.join(written(lead), "value")
+        if labels is None:
+            led = led.groupBy("node", "n", "label").agg(F.max("lead").alias("lead"))
+        first = F.col("lead.node") < F.col("node")
+        pairs = led.where("lead.label <> label").select(
             F.least("lead.node", "node").alias("a"),
             F.greatest("lead.node", "node").alias("b"),
-            F.when(F.col("lead.node") < F.col("node"), F.col("lead.n")).otherwise(F.col("n")).alias("na"),
-            F.when(F.col("lead.node") < F.col("node"), F.col("n")).otherwise(F.col("lead.n")).alias("nb"),
+            F.when(first, F.col("lead.n")).otherwise(F.col("n")).alias("na"),
+            F.when(first, F.col("n")).otherwise(F.col("lead.n")).alias("nb"),
         )
-        near = written(_near(pairs.where("a < b").distinct(), nodes, percent))
+        near = written(_near(pairs.distinct(), nodes, percent))
         proved = written(_proved(near, nodes, docs, width, percent))
         links = proved if links is None else links.unionByName(proved)
         labels = components(links)
@@ -230,7 +241,7 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) ->
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per document row: __id, __hash, n (size of its set), component_id (smallest id that links reach)."""
-    rows = written(sketches(docs, width))
+    rows = written(sketches(docs, width, 2 if percent >= NEIGHBOURS_FROM else 1))
     nodes = written(rows.where("n > 0").dropDuplicates(["print"]).withColumn("node", F.monotonically_increasing_id()))
     labels = nodes.select("print", "node").join(linked_nodes(nodes, docs, width, percent), "node", "left")
     labels = written(labels.select("print", F.coalesce("label", "node").alias("label")))
