@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.common import meet, small
@@ -133,6 +133,12 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     return listed.select(F.col("v.value").alias("value"), "node", "n", "degree")
 
 
+def _alike(one: str, two: str) -> Column:
+    """Whether the union of two sketches holds at least ``FLOOR`` of common values."""
+    union = F.slice(F.array_sort(F.array_union(one, two)), 1, SKETCH)
+    return F.size(F.array_intersect(union, F.array_intersect(one, two))) >= F.size(union) * F.lit(FLOOR)
+
+
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, na, nb) that the sizes and the sketch of the union don't rule out."""
     sized = pairs.where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
@@ -140,9 +146,7 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     met = sized.join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(
         sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b"
     )
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
-    common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-    return met.where(common >= F.size(union) * F.lit(FLOOR)).select("a", "b")
+    return met.where(_alike("sa", "sb")).select("a", "b")
 
 
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -230,12 +234,13 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) ->
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
     large = written(sizes.where(F.col("c") >= LARGE).select("label", F.ceil(F.col("c") / BLOCK).alias("blocks")))
     by_group = written(_with_large(rows, labels, large, nodes, docs, width, percent))
-    rest = written(rows.join(large, "label", "left_anti"))
-    one = rest.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    two = rest.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    rest = written(rows.join(large, "label", "left_anti").join(nodes.select("node", "sketch"), "node"))
+    one = rest.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("sketch").alias("sa"))
+    two = rest.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("sketch").alias("sb"))
+    apart_yet = (F.col("one.value") == F.col("two.value")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
     close = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
-    pairs = one.join(two, "value").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & close).select("a", "b", "na", "nb").distinct()
-    proved = written(_proved(written(_near(pairs, nodes, percent)), nodes, docs, width, percent))
+    pairs = one.alias("one").join(two.alias("two"), apart_yet & close & _alike("sa", "sb")).select("a", "b").distinct()
+    proved = written(_proved(written(pairs), nodes, docs, width, percent))
     return components(links.unionByName(by_group).unionByName(proved))
 
 
