@@ -183,13 +183,18 @@ def _(t):
 
 @query(
     "price_steps",
-    f"""WITH {REPRICED} SELECT fp_freight_form_vendor_id, all_in AS calc_all_in_rate, allow AS proposed_total_allowance, landed AS landed_expense_per_lb,
-      expense AS proposed_total_expense, freight AS proposed_freight_per_lb, booked AS proposed_booked_freight, allow + booked - expense AS proposed_projected_margin
-    FROM s5 WHERE fp_ff_method_id <> 4""",
+    f"""WITH {REPRICED} SELECT fp_freight_form_vendor_id, CASE WHEN fp_ff_method_id <> 4 THEN all_in END AS calc_all_in_rate,
+      CASE WHEN fp_ff_method_id <> 4 THEN allow END AS proposed_total_allowance,
+      CASE WHEN fp_ff_method_id <> 4 THEN landed END AS landed_expense_per_lb,
+      CASE WHEN fp_ff_method_id <> 4 THEN expense END AS proposed_total_expense,
+      CASE WHEN fp_ff_method_id <> 4 OR booked_freight_override THEN freight END AS proposed_freight_per_lb,
+      CASE WHEN fp_ff_method_id <> 4 THEN booked END AS proposed_booked_freight,
+      CASE WHEN fp_ff_method_id <> 4 THEN allow + booked - expense END AS proposed_projected_margin
+    FROM s5""",
     "calc_all_in_rate proposed_total_allowance landed_expense_per_lb proposed_total_expense proposed_freight_per_lb proposed_booked_freight proposed_projected_margin",
 )
 def _(t):
-    return repriced(t).filter("fp_ff_method_id <> 4").select(
+    return repriced(t).select(
         "fp_freight_form_vendor_id", "calc_all_in_rate", "proposed_total_allowance", "landed_expense_per_lb", "proposed_total_expense",
         "proposed_freight_per_lb", "proposed_booked_freight", "proposed_projected_margin",
     )

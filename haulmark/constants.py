@@ -1,7 +1,7 @@
 """Numbers and codes that carry business meaning.
 
-Every one of them is the default of a keyword argument where it is used, so a
-caller with other codes passes their own.
+Most are the default of a keyword argument where they are used, so a caller
+with other codes passes their own.
 """
 
 from __future__ import annotations

@@ -69,8 +69,14 @@ def contains_text(value: Column, part: str | None) -> Column:
     return F.contains(F.upper(value), F.lit(part.upper()))
 
 
+def date_of(text: Column) -> Column:
+    """The date that a text states as ISO, ``M/d/yyyy`` or ``yyyyMMdd``; NULL for any other text."""
+    trimmed = F.trim(text)
+    return F.coalesce(F.try_to_date(trimmed), F.try_to_date(trimmed, "M/d/yyyy"), F.try_to_date(trimmed, "yyyyMMdd"))
+
+
 def is_date(text: Column) -> Column:
-    return F.try_to_date(F.trim(text)).isNotNull()
+    return date_of(text).isNotNull()
 
 
 def protection_matches(temperature: Column, protection: Column, dry: int = 3) -> Column:

@@ -2,8 +2,9 @@
 
 No operator here uses a window partitioned by a business key: a key that holds
 a large part of the rows would put them all in one task. Group totals are
-partially aggregated before the shuffle and joined back, and the join is one
-that adaptive execution can split.
+partially aggregated before the shuffle and joined back. Where the totals are
+too many to broadcast, that join reuses the aggregate's shuffle, and adaptive
+execution then does not split a hot key.
 """
 
 from __future__ import annotations

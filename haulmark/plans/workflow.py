@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from haulmark import constants as K
 from haulmark.functions.numbers import dec, or_zero
-from haulmark.functions.predicates import ci, moment, not_deleted
+from haulmark.functions.predicates import ci, date_of, moment, not_deleted
 from haulmark.operators.rates import blended_rate_of
 from haulmark.operators.shared import live, lowest
 from haulmark.plans.feeds import pricing_out, snapshot_forms
@@ -103,14 +103,14 @@ def user_roles(users: DataFrame, user_role_rows: DataFrame, roles: DataFrame, es
 
 
 def parse_effective_dates(submissions: DataFrame, text: str = "source_system_dates") -> DataFrame:
-    """One row per ``SYSTEM_date`` entry; an empty date is NULL."""
+    """One row per ``SYSTEM_date`` entry; a date that is empty, missing or not readable is NULL."""
     entry = F.explode(F.split(F.col(text), ",")).alias("entry")
     parts = submissions.select(FORM, entry).filter(F.trim("entry") != "")
-    date = F.element_at(F.split("entry", "_"), 2)
+    date = F.try_element_at(F.split("entry", "_"), F.lit(2))
     return parts.select(
         FORM,
         F.trim(F.substring_index("entry", "_", 1)).alias("source_system"),
-        F.to_date(F.nullif(F.trim(date), F.lit(""))).alias("effective_date"),
+        date_of(date).alias("effective_date"),
     )
 
 
@@ -118,7 +118,7 @@ def _chosen_vendors(t: Tables, submissions: DataFrame) -> DataFrame:
     """The live vendors a submission names, one row per form and vendor."""
     ids = submissions.select(
         FORM, F.explode(F.split("vendor_numbers", ",")).alias("text")
-    ).select(FORM, F.trim("text").cast("bigint").alias("tms_vendor_id"))
+    ).select(FORM, F.trim("text").try_cast("bigint").alias("tms_vendor_id"))
     vendors = live(t["tms_vendor"]).select(
         "tms_vendor_id", "tms_whs_id", "vendor_number", F.col("source_system").alias("vendor_system")
     )

@@ -340,3 +340,27 @@ def test_no_clearance_is_the_only_stage_error(spark):
     asked = spark.createDataFrame([(1, 3, None, None, None, "WBS_", "go")], SUBMISSION)
     rows = W.validate_forms(t, asked, NOW.date()).collect()
     assert [(r["title"], r["detail"].split(" security")[0]) for r in rows] == [("Insufficient Clearance", "Only Costing or Coding")]
+
+
+def test_dates_are_read_in_every_accepted_form(spark):
+    texts = ["2022-10-01", " 10/01/2022 ", "10/1/2022", "20221001", "2022-10-01 07:30:00", "", "soon", "13/45/2022", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(P.date_of(F.col("t")).alias("d")).collect()
+    assert [r.d for r in got] == [dt.date(2022, 10, 1)] * 5 + [None] * 4
+
+
+def test_an_unreadable_entry_stops_no_other_form(spark):
+    rows = spark.createDataFrame([(1, "UBS_10/01/2022,WBS_"), (2, "UBS,WBS_soon,"), (3, "UBS_2022-10-02"), (4, None)], "fp_freight_form_id long, source_system_dates string")
+    got = sorted((r[0], r[1], str(r[2])) for r in W.parse_effective_dates(rows).collect())
+    assert got == [(1, "UBS", "2022-10-01"), (1, "WBS", "None"), (2, "UBS", "None"), (2, "WBS", "None"), (3, "UBS", "2022-10-02")]
+
+
+def test_vendor_lists_may_hold_blanks(spark):
+    vendors = spark.createDataFrame([(12, 1, "V", "UBS", None)], "tms_vendor_id long, tms_whs_id long, vendor_number string, source_system string, is_deleted boolean")
+    asked = spark.createDataFrame([(1, "12,"), (2, "x, 12"), (3, "")], "fp_freight_form_id long, vendor_numbers string")
+    assert sorted(r["fp_freight_form_id"] for r in W._chosen_vendors({"tms_vendor": vendors}, asked).collect()) == [1, 2]
+
+
+def test_order_log_keeps_dates_of_other_forms(spark):
+    rows = spark.createDataFrame([(1, "P", "10/01/2022", "20221002", 5, D(7), "O"), (2, "P", "soon", "20221002", 9, D(9), "O")], "purchaseorderlogid long, po_number string, request_date string, expect_date string, total_units int, total_weight decimal(18,3), status string")
+    [row] = H.first_last_order_log(rows).collect()
+    assert (row.total_units_original, row.total_units_ordered) == (5, 5)
