@@ -1,6 +1,6 @@
 """Compare every derived table between Spark and the checking engine."""
 import sys, time
-sys.path.insert(0, "/root/repo")
+sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
 import duckdb
 from haulmark.session import local_session
 from haulmark.sources.testbed import TABLES, TestBed, check_sql_of, SOURCES
