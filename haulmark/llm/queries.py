@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmark.llm import chat, decontamination, hnsw, language, lm, minhash, mixing, quality, sharding
+from haulmark.llm import chat, decontamination, hnsw, language, lines, lm, minhash, mixing, quality, sharding
 from haulmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,24 @@ def _(spark, sf_dir):
     return lm.report(table(spark, sf_dir, "documents"))
 
 
+_BARE = "trim(l, chr(32) || chr(9) || chr(13))"
+
+
+@query(
+    "op6_line_dedup",
+    f"""WITH p AS (SELECT *, row_number() OVER () AS r, coalesce(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), '') AS host FROM pages),
+    l AS (SELECT r, host, unnest(string_split(html, chr(10))) AS l, unnest(range(len(string_split(html, chr(10))))) AS pos FROM p),
+    total AS (SELECT host, count(*) AS total FROM p GROUP BY host),
+    bad AS (SELECT host, line FROM (SELECT host, {_BARE} AS line, count(DISTINCT r) AS times FROM l GROUP BY 1, 2) JOIN total USING (host)
+        WHERE line <> '' AND total >= 3 AND times * 100 > total * 50),
+    cleaned AS (SELECT r, count(*) AS n_lines, count(b.line) AS n_dropped, coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (b.line IS NULL), '') AS kept
+        FROM l LEFT JOIN bad b ON b.host = l.host AND b.line = {_BARE} GROUP BY r)
+    SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(kept) AS kept_sha256 FROM p LEFT JOIN cleaned USING (r)""",
+)
+def _(spark, sf_dir):
+    return lines.report(table(spark, sf_dir, "pages"))
+
+
 @query(
     "op7_chat_formatting",
     f"""WITH rows AS (
