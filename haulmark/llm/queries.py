@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmark.llm import chat, decontamination, hnsw, language, lines, lm, minhash, mixing, quality, sharding, winnowing
+from haulmark.llm import chat, decontamination, hnsw, language, lines, lm, minhash, mixing, quality, runs, sharding, winnowing
 from haulmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,29 @@ _SELF, _NEXT = "SELECT id AS x, id AS y FROM d", "SELECT id AS x, next_id AS y F
 )
 def _(spark, sf_dir):
     return winnowing.report(table(spark, sf_dir, "documents"))
+
+
+#: crc32 of the decimal form of {id}, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+
+
+@query(
+    "op12_periodic_runs",
+    f"""WITH t AS (SELECT doc_id AS id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC.format(id="doc_id")} AS h FROM documents),
+    u AS (SELECT id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS chosen, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM t),
+    v AS (SELECT id, n, CASE WHEN chosen THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM u),
+    k AS (SELECT id, n, pos, w[pos + 1] AS word, array_to_string(w[pos + 1:pos + 6], ' ') AS gram FROM (SELECT *, unnest(range(n)) AS pos FROM v)),
+    pairs AS (SELECT x.id, x.pos AS i, y.pos - x.pos AS q FROM k x JOIN k y ON x.id = y.id AND x.gram = y.gram AND x.pos < y.pos WHERE y.pos + 6 <= y.n),
+    islands AS (SELECT id, q, min(i) AS start, count(*) + 5 + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS island FROM pairs) GROUP BY id, q, island),
+    runs AS (SELECT id, start, length, min(q) AS period FROM islands WHERE length >= greatest(12, 2 * q) GROUP BY id, start, length),
+    listed AS (SELECT id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY id),
+    best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY id ORDER BY length DESC, start, period) = 1),
+    gone AS (SELECT DISTINCT id, unnest(range(start + period, start + length)) AS pos FROM runs),
+    kept AS (SELECT k.id, string_agg(word, ' ' ORDER BY k.pos) AS text FROM k ANTI JOIN gone g ON g.id = k.id AND g.pos = k.pos GROUP BY k.id)
+    SELECT v.id AS doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+        sha256(coalesce(l.runs, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256, v.n AS n_words
+    FROM v LEFT JOIN listed l USING (id) LEFT JOIN best b USING (id) LEFT JOIN kept c USING (id)""",
+)
+def _(spark, sf_dir):
+    return runs.report(runs.planted(table(spark, sf_dir, "documents")))
