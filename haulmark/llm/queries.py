@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmark.llm import chat, decontamination, hnsw, language, lines, lm, minhash, mixing, quality, runs, sharding, winnowing
+from haulmark.llm import chat, decontamination, hnsw, language, lines, lm, minhash, mixing, quality, runs, sharding, trie, winnowing
 from haulmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,28 @@ _CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transfor
 )
 def _(spark, sf_dir):
     return runs.report(runs.planted(table(spark, sf_dir, "documents")))
+
+
+@query(
+    "op13_conversation_trie",
+    f"""WITH own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, role, text
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+    ids AS (SELECT c, c - c % 5 AS base, {_CRC.format(id="c")} % 9 AS h FROM (SELECT DISTINCT c FROM own)),
+    begun AS (SELECT i.c, o.pos AS depth, o.role, o.text FROM ids i JOIN own o ON o.c = i.base AND o.pos <= i.h),
+    seq AS (SELECT * FROM begun UNION ALL SELECT i.c, coalesce(b.n, 0) + o.pos - i.h, o.role, o.text
+        FROM ids i JOIN own o ON o.c = i.c AND o.pos > i.h LEFT JOIN (SELECT c, count(*) AS n FROM begun GROUP BY c) b ON b.c = i.c),
+    named AS (SELECT c, depth, text, list(md5(role || chr(10) || md5(text))) OVER (PARTITION BY c ORDER BY depth) AS path FROM seq),
+    places AS (SELECT c, depth, strlen(text) AS bytes, path FROM named UNION ALL SELECT c, 0, 0, [] FROM ids),
+    sizes AS (SELECT c, max(depth) AS total FROM places GROUP BY c),
+    node AS (SELECT path, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own_saved,
+            sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (depth = total), '')) AS ends_sha256
+        FROM places JOIN sizes USING (c) GROUP BY path),
+    born AS (SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+    full_ AS (SELECT n.*, coalesce(b.n_children, 0) AS n_children FROM node n LEFT JOIN born b USING (path)),
+    up AS (SELECT list_slice(path, 1, d) AS path, sum(own_saved) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+        FROM (SELECT *, unnest(range(depth + 1)) AS d FROM full_) GROUP BY 1)
+    SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, u.n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+    FROM full_ f JOIN up u USING (path) LEFT JOIN full_ p ON f.depth > 0 AND p.path = list_slice(f.path, 1, f.depth - 1)""",
+)
+def _(spark, sf_dir):
+    return trie.report(table(spark, sf_dir, "conversations"))
