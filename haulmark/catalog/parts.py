@@ -14,6 +14,7 @@ from haulmark.catalog.base import exact_ratio, mean_of, query
 from haulmark.functions import numbers as N
 from haulmark.functions import predicates as P
 from haulmark.operators import shared as S
+from haulmark.operators.spread import with_totals
 from haulmark.sources import sinks
 
 PO, LOAD, BILL = "lo_purchase_order_id", "lo_load_number", "bl_billing_id"
@@ -324,22 +325,22 @@ query(
     "w1_share_base",
     "SELECT lo_purchase_order_id, SUM(total_weight) OVER (PARTITION BY po_number) AS weight FROM lo_purchase_orders",
     "weight",
-)(lambda t: S.with_group_totals(pos(t).select(PO, "po_number", "total_weight"), ["po_number"], weight=F.sum("total_weight")).select(PO, "weight"))
+)(lambda t: with_totals(pos(t).select(PO, "po_number", "total_weight"), ["po_number"], [PO], weight=F.sum("total_weight")).select(PO, "weight"))
 query(
     "w2_conditional_total",
     "SELECT lo_purchase_order_id, SUM(CASE WHEN frz_units > 0 THEN total_weight END) OVER (PARTITION BY dis_whs_id) AS frozen FROM lo_purchase_orders",
     "frozen",
 )(
-    lambda t: S.with_group_totals(
-        pos(t).select(PO, "dis_whs_id", "total_weight", "frz_units"), ["dis_whs_id"], frozen=F.sum(F.when(c("frz_units") > 0, c("total_weight")))
+    lambda t: with_totals(
+        pos(t).select(PO, "dis_whs_id", "total_weight", "frz_units"), ["dis_whs_id"], [PO], frozen=F.sum(F.when(c("frz_units") > 0, c("total_weight")))
     ).select(PO, "frozen")
 )
 query(
     "w3_conditional_count",
     "SELECT lo_purchase_order_id, COUNT(CASE WHEN frz_units > 0 THEN 1 END) OVER (PARTITION BY tms_vendor_id) AS frozen FROM lo_purchase_orders",
 )(
-    lambda t: S.with_group_totals(
-        pos(t).select(PO, "tms_vendor_id", "frz_units"), ["tms_vendor_id"], frozen=F.count(F.when(c("frz_units") > 0, 1))
+    lambda t: with_totals(
+        pos(t).select(PO, "tms_vendor_id", "frz_units"), ["tms_vendor_id"], [PO], frozen=F.count(F.when(c("frz_units") > 0, 1))
     ).select(PO, "frozen")
 )
 query(
@@ -364,8 +365,8 @@ query(
     "SELECT pl.lo_purchase_order_id, pl.lo_load_number, SUM(po.total_weight) OVER (PARTITION BY pl.lo_load_number) AS weight FROM lo_po_loads pl JOIN lo_purchase_orders po USING (lo_purchase_order_id)",
     "weight",
 )(
-    lambda t: S.with_group_totals(
-        t["lo_po_loads"].select(PO, LOAD).join(pos(t).select(PO, "total_weight"), PO), [LOAD], weight=F.sum("total_weight")
+    lambda t: with_totals(
+        t["lo_po_loads"].select(PO, LOAD).join(pos(t).select(PO, "total_weight"), PO), [LOAD], [PO], weight=F.sum("total_weight")
     ).select(PO, LOAD, "weight")
 )
 query("w8_sort_key", "SELECT tms_vendor_id, name FROM tms_vendor ORDER BY name DESC, tms_vendor_id")(

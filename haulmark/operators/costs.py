@@ -11,10 +11,23 @@ from haulmark.functions.classify import po_revenue as revenue_of
 from haulmark.functions.numbers import dec, or_zero, share
 from haulmark.functions.predicates import ci, in_dates, switch_filter
 from haulmark.operators.shared import fiscal_days, live, lowest
+from haulmark.operators.spread import hot_keys, join_spread
 
 PO, LOAD, BILL = "lo_purchase_order_id", "lo_load_number", "bl_billing_id"
 
 
+def received_in_window(pos: DataFrame, start, end) -> DataFrame:
+    """Ids of the orders received in the window, whatever their state; only the date and the id are read."""
+    return pos.filter(in_dates("rec_date", start, end)).select(PO)
+
+
+def _lines_of_touched_bills(pos: DataFrame, bill_pos: DataFrame, start, end, hot: Column) -> DataFrame:
+    """All lines of the bills that hold an order received in the window."""
+    links = live(bill_pos).select(PO, LOAD, BILL)
+    touched = links.select(PO, BILL).join(received_in_window(pos, start, end), PO, "left_semi").select(BILL).distinct()
+    return join_spread(links, touched, [BILL], [PO, LOAD], "left_semi", hot)
+
+
 def allocate_invoices(
     pos: DataFrame,
     bill_pos: DataFrame,
@@ -28,33 +41,22 @@ def allocate_invoices(
 
     A bill counts when any of its orders was received in the window; then all
     its orders that are not excluded (and match the source system, if given)
-    share the invoice. One aggregate per bill yields both the test and the
-    total weight.
+    share the invoice. The orders of the window name the bills, the bills name
+    their lines, and only those lines meet their orders and are added up.
     """
-    linked = live(bill_pos).select(PO, LOAD, BILL).join(
-        pos.select(PO, "po_number", "total_weight", "rec_date", "tms_status_id", "source_system"), PO
-    )
-    sharing = F.coalesce(
-        (F.col("tms_status_id") != K.PO_EXCLUDED)
-        & switch_filter(F.col("source_system"), source_system),
-        F.lit(False),
-    )
-    per_bill = (
-        linked.groupBy(BILL)
-        .agg(
-            F.max(in_dates("rec_date", start, end)).alias("received"),
-            F.sum(F.when(sharing, F.col("total_weight"))).alias("bill_weight"),
-        )
-        .filter("received")
+    hot = hot_keys(live(bill_pos), [BILL])
+    sharing = (F.col("tms_status_id") != K.PO_EXCLUDED) & switch_filter(F.col("source_system"), source_system)
+    linked = _lines_of_touched_bills(pos, bill_pos, start, end, hot).join(
+        pos.filter(sharing).select(PO, "po_number", "total_weight"), PO
     )
+    weights = linked.groupBy(BILL).agg(F.sum("total_weight").alias("bill_weight"))
     priced = (
         bills.filter(~F.col("cr_carrier_id").isin(*skip_carriers))
         .select(BILL, "invoice_amount")
-        .join(per_bill, BILL)
+        .join(weights, BILL)
     )
     return (
-        linked.filter(sharing)
-        .join(priced, BILL)
+        join_spread(linked, priced, [BILL], [PO, LOAD], hot=hot)
         .select(
             share(F.col("total_weight"), F.col("bill_weight"), F.col("invoice_amount")).alias(
                 "freight_paid_po"
@@ -74,15 +76,19 @@ def allocate_invoices_by_system(
     bills: DataFrame,
     as_of,
     skip_carriers=K.NEVER_ALLOCATED_CARRIERS,
+    earliest: Column | None = None,
 ) -> DataFrame:
     """The allocation run once per source system, each with its own start date.
 
     ``pos`` carries ``window_start`` of its source system; every window ends on
     ``as_of``, so a bill is inside a system's window when its latest receipt up
     to that day is, whatever system that order has. Shares are taken among the
-    system's own orders only.
+    system's own orders only. No window opens before ``earliest``; bills without
+    a receipt from then on are left out before anything is added up.
     """
-    linked = live(bill_pos).select(PO, LOAD, BILL).join(
+    earliest = pos.agg(F.min("window_start")).scalar() if earliest is None else earliest
+    hot = hot_keys(live(bill_pos), [BILL])
+    linked = _lines_of_touched_bills(pos, bill_pos, earliest, as_of, hot).join(
         pos.select(
             PO, "po_number", "total_weight", F.to_date("rec_date").alias("received"), "tms_status_id",
             ci(F.col("source_system")).alias("system"), "window_start",
@@ -114,9 +120,9 @@ def allocate_invoices_by_system(
         .filter(F.col("latest") >= F.col("opens"))
         .drop("latest", "opens")
     )
+    mine = linked.filter(sharing)
     return (
-        linked.filter(sharing)
-        .join(priced, [BILL, "system"])
+        join_spread(mine, priced, [BILL, "system"], [PO, LOAD])
         .select(
             share(F.col("total_weight"), F.col("bill_weight"), F.col("invoice_amount")).alias(
                 "freight_paid_po"
@@ -139,28 +145,32 @@ def billing_gaps(
     carriers: DataFrame,
     skip_carriers=K.NEVER_UNBILLED_CARRIERS,
 ) -> DataFrame:
-    """Order/load pairs of ``received`` orders without a positive bill by the load's carrier."""
-    billable = (
-        loads.filter(
-            (F.col("tms_status_id") != K.LOAD_EXCLUDED) & ~F.col("cr_carrier_id").isin(*skip_carriers)
+    """Order/load pairs of ``received`` orders without a positive bill by the load's carrier.
+
+    The received orders lead: links and bill lines are cut to them before they
+    meet loads, carriers and bills.
+    """
+    orders = received.select(PO, "po_number")
+    hauled = (
+        live(po_loads)
+        .select(PO, LOAD)
+        .join(orders, PO)
+        .join(
+            loads.filter(
+                (F.col("tms_status_id") != K.LOAD_EXCLUDED) & ~F.col("cr_carrier_id").isin(*skip_carriers)
+            ).select(LOAD, "cr_carrier_id"),
+            LOAD,
         )
-        .select(LOAD, "cr_carrier_id")
         .join(carriers.filter(~F.col("shuttle_carrier")).select("cr_carrier_id"), "cr_carrier_id")
     )
     paid = (
         live(bill_pos)
         .select(PO, LOAD, BILL)
+        .join(orders, PO, "left_semi")
         .join(bills.filter("invoice_amount > 0").select(BILL, "cr_carrier_id"), BILL)
         .select(PO, LOAD, "cr_carrier_id")
     )
-    return (
-        live(po_loads)
-        .select(PO, LOAD)
-        .join(billable, LOAD)
-        .join(received.select(PO, "po_number"), PO)
-        .join(paid, [PO, LOAD, "cr_carrier_id"], "left_anti")
-        .select("po_number", PO, LOAD)
-    )
+    return hauled.join(paid, [PO, LOAD, "cr_carrier_id"], "left_anti").select("po_number", PO, LOAD)
 
 
 def received_in(pos: DataFrame, start, end, source_system: str | None = None) -> DataFrame:
@@ -209,11 +219,7 @@ def backhaul_expense(
     cross-dock rate otherwise. ``pick='sum'`` adds all backhaul loads of the
     order; ``pick='one'`` takes the load with the lowest number.
     """
-    trips = (
-        loads.filter(is_backhaul(F.col("cr_carrier_id"), F.col("source_whs_id")))
-        .select(LOAD, "destination_whs_id")
-        .join(live(po_loads).select(PO, LOAD), LOAD)
-    )
+    trips = loads.filter(is_backhaul(F.col("cr_carrier_id"), F.col("source_whs_id"))).select(LOAD, "destination_whs_id")
     orders = pos.select(
         PO,
         "dis_whs_id",
@@ -226,7 +232,10 @@ def backhaul_expense(
     )
     days = fiscal_days(calendar).select("fiscal_day", "fiscal_year")
     charged = (
-        trips.join(orders, PO)
+        live(po_loads)
+        .select(PO, LOAD)
+        .join(orders, PO)
+        .join(trips, LOAD)
         .join(days, "fiscal_day", "left")
         .join(rates, ["fiscal_year", "system"], "left")
     )
@@ -295,14 +304,16 @@ def unbilled_loads(
     real = bills.filter(
         (F.col("cr_carrier_id") != K.NOT_A_REAL_BILL_CARRIER) & (F.col("invoice_amount") > 0)
     ).select(BILL)
+    open_loads = candidates.distinct()
     billed = (
         live(bill_pos)
         .select(PO, LOAD, BILL)
+        .join(open_loads, LOAD, "left_semi")
         .join(real, BILL)
         .join(live(po_loads).select(PO, LOAD), [PO, LOAD], "left_semi")
         .select(LOAD)
     )
-    return candidates.distinct().join(billed, LOAD, "left_anti")
+    return open_loads.join(billed, LOAD, "left_anti")
 
 
 def unbilled_expense(

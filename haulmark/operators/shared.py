@@ -2,9 +2,8 @@
 
 No operator here uses a window partitioned by a business key: a key that holds
 a large part of the rows would put them all in one task. Group totals are
-partially aggregated before the shuffle and joined back. Where the totals are
-too many to broadcast, that join reuses the aggregate's shuffle, and adaptive
-execution then does not split a hot key.
+partially aggregated before the shuffle and joined back with hot keys dealt out
+(``spread``).
 """
 
 from __future__ import annotations
@@ -37,12 +36,6 @@ def fiscal_period_of(
     return df.join(days, F.to_date(df[date_col]) == F.col("fiscal_day"), "left").drop("fiscal_day")
 
 
-def with_group_totals(df: DataFrame, keys: list[str], **totals: Column) -> DataFrame:
-    """Adds whole-group aggregates to every row of the group."""
-    sums = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    return df.join(sums, keys, "left")
-
-
 def lowest(columns: dict[str, Column], *order: Column, where: Column | None = None) -> Column:
     """The columns of the row that sorts first, as one struct; ties do not matter
     because the values themselves end the order."""

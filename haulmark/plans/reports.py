@@ -24,6 +24,7 @@ from haulmark.operators import costs as C
 from haulmark.operators import history as H
 from haulmark.operators.rates import blended_rate_of
 from haulmark.operators.shared import fiscal_period_of, live, lowest
+from haulmark.operators.spread import hot_keys, join_spread
 
 PO, LOAD, BILL = C.PO, C.LOAD, C.BILL
 Tables = Mapping[str, DataFrame]
@@ -94,9 +95,11 @@ def supplier_billing_report(
         )
         .withColumnsRenamed({"total_weight": "po_weight", "rec_date": "receive_date"})
     )
+    inside = orders.select(PO)
     links = (
         live(t["lo_po_loads"])
         .select(PO, LOAD)
+        .join(inside, PO, "left_semi")
         .join(
             t["lo_loads"].select(
                 LOAD, "cr_carrier_id", "source_whs_id", "destination_whs_id", F.lit(True).alias("known")
@@ -105,7 +108,8 @@ def supplier_billing_report(
             "left",
         )
     )
-    billed = live(t["bl_bill_pos"]).select(PO, LOAD, F.lit(True).alias("billed")).distinct()
+    lines = live(t["bl_bill_pos"]).select(PO, LOAD, BILL).join(inside, PO, "left_semi")
+    billed = lines.select(PO, LOAD, F.lit(True).alias("billed")).distinct()
     by_backhaul_carrier = F.col("cr_carrier_id") == K.BACKHAUL_CARRIER
     per_order = (
         links.join(billed, [PO, LOAD], "left")
@@ -147,7 +151,7 @@ def supplier_billing_report(
         .join(live(t["commodity_codes"]).select("commodity_code_id", "commodity_code_description"), "commodity_code_id", "left")
         .join(t["order_types"].select("order_type_id", "order_type_description"), "order_type_id", "left")
     )
-    bill_counts = live(t["bl_bill_pos"]).groupBy(PO).agg(F.count_distinct(BILL).cast("int").alias("bill_count"))
+    bill_counts = lines.groupBy(PO).agg(F.count_distinct(BILL).cast("int").alias("bill_count"))
     wide = wide.join(bill_counts, PO, "left")
     weight = F.col("po_weight")
     paid, hauled = or_zero(F.col("freight_paid_po")), or_zero(F.col("backhaul_expense_po"))
@@ -235,7 +239,8 @@ def _performance_orders(t: Tables, start, end, where: Column, scale_null: bool,
         orders, t["lo_po_loads"], t["lo_loads"], t["fiscal_calendar"], t["pallet_handling_rate"],
         F.ceil("total_pallets"), pick="sum", system_col=rate_system,
     )
-    linked = live(t["lo_po_loads"]).select(PO, F.lit(True).alias("linked")).distinct()
+    inside = orders.select(PO)
+    linked = live(t["lo_po_loads"]).select(PO, F.lit(True).alias("linked")).join(inside, PO, "left_semi").distinct()
     wide = (
         orders.join(totals, PO, "left")
         .join(backhaul, PO, "left")
@@ -248,7 +253,7 @@ def _performance_orders(t: Tables, start, end, where: Column, scale_null: bool,
             "left",
         )
     )
-    return H.pend_status(wide, t["lo_po_log"])
+    return H.pend_status(wide, t["lo_po_log"].join(inside, PO, "left_semi"))
 
 
 def _appointments(t: Tables) -> DataFrame:
@@ -261,6 +266,11 @@ def _appointments(t: Tables) -> DataFrame:
     return live(t["app_appointment_pos"]).select("app_appointment_id", PO).join(kept, "app_appointment_id")
 
 
+def _logged(t: Tables, orders: DataFrame) -> DataFrame:
+    """The order log of the report's orders."""
+    return t["purchaseorderslog"].join(orders.select("po_number").distinct(), "po_number", "left_semi")
+
+
 def _performance_columns(expense: Column, backhaul: Column) -> list[Column]:
     return [
         F.col("remit_vendor").alias("remit_vendor_number"),
@@ -318,7 +328,7 @@ def supplier_performance(t: Tables, start, end, remit=None, vendor=None, warehou
     expense = F.when(open_bill, or_zero(F.col("freight_paid_po"))).otherwise(F.lit(0).cast(dec(10, 3)))
     backhaul = F.when(open_bill, F.col("backhaul_expense_po")).cast(dec(10, 3))
     margin = or_zero(F.col("prod_frt")) - (expense + or_zero(backhaul))
-    return visits.join(H.first_last_order_log(t["purchaseorderslog"]), "po_number").select(
+    return visits.join(H.first_last_order_log(_logged(t, orders)), "po_number").select(
         *_performance_columns(expense, backhaul),
         levels.alias("protection_level"),
         F.when(open_bill, margin).otherwise(0).cast(dec(18, 3)).alias("margin_po"),
@@ -356,7 +366,7 @@ def supplier_scorecard(
     backhaul = F.when(open_bill, F.col("backhaul_expense_po") * F.col("visits")).cast(dec(10, 3))
     revenue = or_zero(F.col("prod_frt"))
     inbound = expense + or_zero(backhaul)
-    return visits.join(H.first_last_order_log(t["purchaseorderslog"]), "po_number").select(
+    return visits.join(H.first_last_order_log(_logged(t, orders)), "po_number").select(
         *_performance_columns(expense, backhaul),
         cl.protection_level(F.col("frz_units"), F.col("chl_units")).alias("protection_level"),
         F.col("appointment_status"),
@@ -390,8 +400,10 @@ def supplier_expense_by_mode(
     rows = fiscal_period_of(orders, "rec_date", t["fiscal_calendar"], ("fiscal_year", "period", "week")).join(
         live(t["lo_po_loads"]).select(PO, LOAD).distinct(), PO, "left"
     )
+    named = rows.select(LOAD).distinct()
     loads = (
         t["lo_loads"]
+        .join(named, LOAD, "left_semi")
         .join(
             t["cr_carriers"].select("cr_carrier_id", F.col("name").alias("load_carrier"), "ltl_carrier"),
             "cr_carrier_id",
@@ -439,13 +451,14 @@ def supplier_expense_by_mode(
     paid = C.po_freight(_allocated(t, start, end), (PO, LOAD)).withColumn(
         "freight_paid_po", F.col("freight_paid_po").cast(dec(10, 3))
     )
+    # Orders without a load are many; they and hot loads are dealt out in every join by load.
+    hot = hot_keys(rows, [LOAD])
+    stops = t["tms_pc_miler_history"].join(named.select(F.col(LOAD).alias("load_number")), "load_number", "left_semi")
+    wide = join_spread(rows.withColumn("_system", ci(F.col("source_system"))), paid, [LOAD, PO], [PO], "left", F.array().cast("array<bigint>"))
+    for per in (loads, per_load, H.load_origin(stops, strict_origin)):
+        wide = join_spread(wide, per, [LOAD], [PO], "left", hot)
     wide = (
-        rows.withColumn("_system", ci(F.col("source_system")))
-        .join(paid, [PO, LOAD], "left")
-        .join(loads, LOAD, "left")
-        .join(per_load, LOAD, "left")
-        .join(rates, ["fiscal_year", "_system"], "left")
-        .join(H.load_origin(t["tms_pc_miler_history"], strict_origin), LOAD, "left")
+        wide.join(rates, ["fiscal_year", "_system"], "left")
         .join(_facilities(t), "tms_vendor_facility_id", "left")
         .join(_buyers(t), "tms_buyer", "left")
     )
