@@ -3,7 +3,7 @@
 from importlib import import_module
 from importlib.util import find_spec
 
-MODULES = ("costs", "classify", "jobs", "reports", "budget", "rates", "feeds", "workflow", "parts", "io")
+MODULES = ("costs", "classify", "jobs", "reports", "budget", "rates", "feeds", "workflow", "parts", "io", "storage")
 
 
 def load_all():

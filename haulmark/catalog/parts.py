@@ -14,6 +14,7 @@ from haulmark.catalog.base import exact_ratio, mean_of, query
 from haulmark.functions import numbers as N
 from haulmark.functions import predicates as P
 from haulmark.operators import shared as S
+from haulmark.operators.intervals import join_periods
 from haulmark.operators.spread import with_totals
 from haulmark.sources import sinks
 
@@ -135,12 +136,11 @@ query(
     f"""SELECT l.fp_freight_form_id, l.tms_status_id, p.price FROM fp_freight_form_log l JOIN tms_fuel_avg_price p ON l.created_date BETWEEN p.start_date AND p.end_date AND {LIVE.format('p')}""",
     "price",
 )(
-    lambda t: t["fp_freight_form_log"]
-    .join(
-        S.live(t["tms_fuel_avg_price"]).select(F.explode(F.sequence("start_date", "end_date")).alias("created_date"), "price"),
-        "created_date",
-    )
-    .select("fp_freight_form_id", "tms_status_id", "price")
+    lambda t: join_periods(
+        t["fp_freight_form_log"].select("fp_freight_form_id", "tms_status_id", "created_date"),
+        S.live(t["tms_fuel_avg_price"]).select("start_date", "end_date", "price"),
+        "created_date", "start_date", "end_date", open_ends=False,
+    ).select("fp_freight_form_id", "tms_status_id", "price")
 )
 query(
     "j10_code_or_default",

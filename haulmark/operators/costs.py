@@ -21,10 +21,10 @@ def received_in_window(pos: DataFrame, start, end) -> DataFrame:
     return pos.filter(in_dates("rec_date", start, end)).select(PO)
 
 
-def _lines_of_touched_bills(pos: DataFrame, bill_pos: DataFrame, start, end, hot: Column) -> DataFrame:
-    """All lines of the bills that hold an order received in the window."""
+def _lines_of_touched_bills(received: DataFrame, bill_pos: DataFrame, hot: Column) -> DataFrame:
+    """All lines of the bills that hold a ``received`` order."""
     links = live(bill_pos).select(PO, LOAD, BILL)
-    touched = links.select(PO, BILL).join(received_in_window(pos, start, end), PO, "left_semi").select(BILL).distinct()
+    touched = links.select(PO, BILL).join(received, PO, "left_semi").select(BILL).distinct()
     return join_spread(links, touched, [BILL], [PO, LOAD], "left_semi", hot)
 
 
@@ -36,6 +36,7 @@ def allocate_invoices(
     end,
     source_system: str | None = None,
     skip_carriers=K.NEVER_ALLOCATED_CARRIERS,
+    received: DataFrame | None = None,
 ) -> DataFrame:
     """Each order's weight share of every bill it is on.
 
@@ -43,10 +44,13 @@ def allocate_invoices(
     its orders that are not excluded (and match the source system, if given)
     share the invoice. The orders of the window name the bills, the bills name
     their lines, and only those lines meet their orders and are added up.
+    ``received`` may hand over the ids of the window's orders, as read from facts
+    stored by month; the dates are not needed then.
     """
+    received = received_in_window(pos, start, end) if received is None else received
     hot = hot_keys(live(bill_pos), [BILL])
     sharing = (F.col("tms_status_id") != K.PO_EXCLUDED) & switch_filter(F.col("source_system"), source_system)
-    linked = _lines_of_touched_bills(pos, bill_pos, start, end, hot).join(
+    linked = _lines_of_touched_bills(received, bill_pos, hot).join(
         pos.filter(sharing).select(PO, "po_number", "total_weight"), PO
     )
     weights = linked.groupBy(BILL).agg(F.sum("total_weight").alias("bill_weight"))
@@ -88,7 +92,7 @@ def allocate_invoices_by_system(
     """
     earliest = pos.agg(F.min("window_start")).scalar() if earliest is None else earliest
     hot = hot_keys(live(bill_pos), [BILL])
-    linked = _lines_of_touched_bills(pos, bill_pos, earliest, as_of, hot).join(
+    linked = _lines_of_touched_bills(received_in_window(pos, earliest, as_of), bill_pos, hot).join(
         pos.select(
             PO, "po_number", "total_weight", F.to_date("rec_date").alias("received"), "tms_status_id",
             ci(F.col("source_system")).alias("system"), "window_start",

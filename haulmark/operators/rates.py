@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from haulmark import constants as K
 from haulmark.functions.numbers import dec, mean_zero, or_zero, ratio
 from haulmark.functions.predicates import ci
+from haulmark.operators.intervals import join_periods
 from haulmark.operators.shared import join_by_code_or_default, live, lowest
 
 CONFIG_COLUMNS = [
@@ -421,13 +422,8 @@ def fuel_price_at(form_log: DataFrame, fuel_prices: DataFrame) -> DataFrame:
         .groupBy("fp_freight_form_id")
         .agg(F.to_date(F.min("created_date")).alias("fuel_date"))
     )
-    days = (
-        live(fuel_prices)
-        .select(
-            F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date"))).alias("fuel_date"),
-            "price",
-        )
-        .groupBy("fuel_date")
-        .agg(F.min("price").alias("fuel_price"))
+    prices = live(fuel_prices).select("start_date", "end_date", "price")
+    held = join_periods(
+        first, prices, "fuel_date", "start_date", "end_date", ids=["fp_freight_form_id"], how="left", open_ends=False
     )
-    return first.join(days, "fuel_date", "left").select("fp_freight_form_id", "fuel_date", "fuel_price")
+    return held.groupBy("fp_freight_form_id", "fuel_date").agg(F.min("price").alias("fuel_price"))
