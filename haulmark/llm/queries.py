@@ -136,16 +136,33 @@ def _(spark, sf_dir):
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-#: Marks of the texts of ``chars`` (id, pos from 0, c): hashes of 16 code points by doubling, then the rightmost least of each 16.
-_MARKS = """{name}_2 AS (SELECT id, pos, n, c * 1009 + lead(c, 1) OVER w AS h FROM {chars} WINDOW w AS (PARTITION BY id ORDER BY pos)),
-    {name}_4 AS (SELECT id, pos, n, (h * 1018081 + lead(h, 2) OVER w) % 2147483647 AS h FROM {name}_2 WINDOW w AS (PARTITION BY id ORDER BY pos)),
-    {name}_8 AS (SELECT id, pos, n, (h * 1401804707 + lead(h, 4) OVER w) % 2147483647 AS h FROM {name}_4 WINDOW w AS (PARTITION BY id ORDER BY pos)),
-    {name}_16 AS (SELECT id, pos, n, (h * 666616479 + lead(h, 8) OVER w) % 2147483647 AS h FROM {name}_8 WINDOW w AS (PARTITION BY id ORDER BY pos)),
-    {name}_min AS (SELECT id, pos, n, min(h * 4294967296 + 4294967295 - pos) OVER w AS v FROM {name}_16 WHERE h IS NOT NULL
+#: One step of CRC-32 over a byte, by a table that the check derives from the polynomial.
+_STEP = "xor(t[1 + xor({s}, {b}) % 256], {s} // 256)"
+_TABLE = "crc AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS t)"
+
+
+def _bytes(*parts):
+    state = "s"
+    for part in parts:
+        state = _STEP.format(s=state, b=part)
+    return state
+
+
+#: A step over a code point, as its one to four bytes of UTF-8.
+_POINT = f"""CASE WHEN p < 128 THEN {_bytes("p")} WHEN p < 2048 THEN {_bytes("(192 + p // 64)", "(128 + p % 64)")}
+    WHEN p < 65536 THEN {_bytes("(224 + p // 4096)", "(128 + p // 64 % 64)", "(128 + p % 64)")}
+    ELSE {_bytes("(240 + p // 262144)", "(128 + p // 4096 % 64)", "(128 + p // 64 % 64)", "(128 + p % 64)")} END"""
+_RUN = ", ".join(["c", *(f"lead(c, {j}) OVER w" for j in range(1, 16))])
+#: Marks of the texts of ``chars`` (id, pos from 0, c): CRC-32 of 16 code points, then the rightmost least of each 16.
+_MARKS = (
+    "{name}_run AS (SELECT id, pos, n, [" + _RUN + "] AS g FROM {chars} WINDOW w AS (PARTITION BY id ORDER BY pos)),\n"
+    "{name}_16 AS (SELECT id, pos, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_filter(g, lambda x: x IS NOT NULL)), lambda s, p: "
+    + _POINT
+    + """), 4294967295) AS h FROM {name}_run, crc WHERE pos + 16 <= n OR (n < 16 AND pos = 0)),
+    {name}_min AS (SELECT id, pos, n, min(h * 16777216 + 16777215 - pos) OVER w AS v FROM {name}_16
         WINDOW w AS (PARTITION BY id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING)),
-    {name}_short AS (SELECT id, list_reduce(list_prepend(CAST(0 AS BIGINT), list(c ORDER BY pos)), lambda a, b: (a * 1009 + b) % 2147483647) AS mark FROM {chars} WHERE n < 16 GROUP BY id),
-    {name} AS (SELECT DISTINCT id, (4294967295 - v % 4294967296) * 2147483648 + v // 4294967296 AS mark FROM {name}_min WHERE pos <= greatest(n - 31, 0)
-        UNION ALL SELECT id, mark FROM {name}_short)"""
+    {name} AS (SELECT DISTINCT id, (16777215 - v % 16777216) * 4294967296 + v // 16777216 AS mark FROM {name}_min WHERE pos <= greatest(n - 31, 0))"""
+)
 _CHARS = "SELECT id, CAST(unicode(c) AS BIGINT) AS c, pos, n FROM (SELECT id, unnest(string_split({text}, '')) AS c, unnest(range(length({text}))) AS pos, length({text}) AS n FROM {table})"
 _LIKE = """{name} AS (SELECT a.id, CASE WHEN a.n + b.n = 0 THEN 1.0 ELSE c.n / CAST(a.n + b.n - c.n AS DOUBLE) END AS near FROM ({pairs}) p
         JOIN {a}_n a ON a.id = p.x JOIN {b}_n b ON b.id = p.y JOIN (SELECT p.x, count(s.hash) AS n FROM ({pairs}) p
@@ -154,7 +171,7 @@ _LIKE = """{name} AS (SELECT a.id, CASE WHEN a.n + b.n = 0 THEN 1.0 ELSE c.n / C
 
 def _hashes(name):
     return (
-        f"{name}_h AS (SELECT DISTINCT id, mark % 2147483648 AS hash FROM {name}), "
+        f"{name}_h AS (SELECT DISTINCT id, mark % 4294967296 AS hash FROM {name}), "
         f"{name}_n AS (SELECT d.doc_id AS id, count(h.id) AS n FROM documents d LEFT JOIN {name}_h h ON h.id = d.doc_id GROUP BY 1), "
         f"{name}_print AS (SELECT d.doc_id AS id, sha256(coalesce(string_agg(CAST(mark AS VARCHAR), ',' ORDER BY mark), '')) AS print, count(mark) AS n FROM documents d LEFT JOIN {name} m ON m.id = d.doc_id GROUP BY 1)"
     )
@@ -169,7 +186,7 @@ _SELF, _NEXT = "SELECT id AS x, id AS y FROM d", "SELECT id AS x, next_id AS y F
     d AS (SELECT *, coalesce(lead(id) OVER w, first(id) OVER w) AS next_id, coalesce(lead(text) OVER w, first(text) OVER w) AS next_text, length(text) // 3 AS third
         FROM t WINDOW w AS (ORDER BY id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
     e AS (SELECT id, substr(text, 1, length(text) - third) || substr(next_text, 1, third) AS edited FROM d),
-    own_c AS ({_CHARS.format(text="text", table="t")}), edited_c AS ({_CHARS.format(text="edited", table="e")}),
+    {_TABLE}, own_c AS ({_CHARS.format(text="text", table="t")}), edited_c AS ({_CHARS.format(text="edited", table="e")}),
     {_MARKS.format(name="own", chars="own_c")}, {_MARKS.format(name="ed", chars="edited_c")}, {_hashes("own")}, {_hashes("ed")},
     {_LIKE.format(name="near_e", a="own", b="ed", pairs=_SELF)}, {_LIKE.format(name="near_n", a="own", b="own", pairs=_NEXT)}
     SELECT d.id AS doc_id, length(d.text) AS n_chars, sha256(e.edited) AS edited_sha256, f.print AS fingerprint, g.print AS edited_fingerprint,

@@ -1,11 +1,12 @@
 """Document fingerprints by winnowing, in DataFrame operations only.
 
 Method. The code points of a text are cut into overlapping pieces of bounded
-length. Polynomial hashes of all runs of ``GRAM`` code points come from runs of
-half the length, doubled, and minima of all windows of ``WINDOW`` such hashes
-likewise; of equal minima the rightmost counts. A mark is a chosen hash with its
-position, and the marks of a text are its fingerprint. Two texts that share
-``GRAM + WINDOW - 1`` code points share a mark at the same place of the passage.
+length. Each run of ``GRAM`` code points is hashed by CRC-32, a polynomial hash
+of the rolling kind, and minima of all windows of ``WINDOW`` such hashes come from
+minima of half as many, doubled; of equal minima the rightmost counts. A mark is a
+chosen hash with its position, and the marks of a text are its fingerprint. Two
+texts that share ``GRAM + WINDOW - 1`` code points share a mark at the same place
+of the passage.
 A text is one row from start to end and is never exploded or shuffled for its
 marks; a worker holds the arrays of one piece and the marks of one text.
 
@@ -33,16 +34,15 @@ from pyspark.sql.window import Window
 
 from haulmark.llm.common import small
 
-#: Code points of a gram and grams of a window, both powers of two.
+#: Code points of a gram, and grams of a window, a power of two.
 GRAM, WINDOW = 16, 16
 #: Windows that begin in one piece of a text.
 PIECE = 512
-BASE, PRIME = 1009, (1 << 31) - 1
 #: Rows of a bin of consecutive documents, and id percentiles that come to the driver at most.
 BIN_ROWS, BOUNDS = 500, 512
 #: Up to so many bins, their first rows are broadcast.
 BROADCAST_ROWS = 100_000
-_PLACE = 1 << 12
+_PLACE, _HASH_BITS, _HASH = 1 << 12, 32, (1 << 32) - 1
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -50,35 +50,22 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _after(values: Column, n: int) -> Column:
-    return F.slice(values, n + 1, _PLACE)
-
-
-def _grams(codes: Column, gram: int) -> Column:
-    """Hashes of all runs of ``gram`` codes, then nulls; a run of twice the width is two runs side by side."""
-
-    def doubled(values: Column, width: int) -> Column:
-        if width == gram:
-            return values
-        power, prime = F.lit(pow(BASE, width, PRIME)).cast("long"), F.lit(PRIME).cast("long")
-        small_yet = width == 1 < gram // 2  # a code point times BASE needs no remainder
-        pair = F.zip_with(values, _after(values, width), lambda a, b: a * power + b if small_yet else (a * power + b) % prime)
-        return _let(pair, lambda v: doubled(v, 2 * width))
-
-    return doubled(codes, 1)
-
-
 def _minima(values: Column, window: int) -> Column:
     """Minima of all windows of ``window`` values; those that run over the end are of fewer."""
 
     def doubled(v: Column, width: int) -> Column:
-        return v if width == window else _let(F.zip_with(v, _after(v, width), lambda a, b: F.least(a, b)), lambda m: doubled(m, 2 * width))
+        if width == window:
+            return v
+        pair = F.zip_with(v, F.slice(v, width + 1, _PLACE), lambda a, b: F.when(b < a, b).otherwise(a))
+        return _let(pair, lambda m: doubled(m, 2 * width))
 
     return doubled(values, 1)
 
 
-def _codes(text: Column) -> Column:
-    return F.transform(F.split(text, F.lit("")), lambda c: F.ascii(c).cast("long"))
+def _grams(text: Column, gram: int) -> Column:
+    """The hashes of all runs of ``gram`` code points, each with its place below it so that the rightmost of equal ones is least."""
+    runs = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{gram}}}))."), F.lit(1))
+    return F.transform(runs, lambda g, i: F.crc32(g.cast("binary")) * F.lit(_PLACE).cast("long") + (F.lit(_PLACE - 1) - i))
 
 
 def piece_marks(text: Column, first: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
@@ -91,19 +78,15 @@ def piece_marks(text: Column, first: Column, gram: int = GRAM, window: int = WIN
         return _let(F.concat(piece, tail), lambda p: chosen(p, at + first))
 
     def chosen(piece: Column, number: Column) -> Column:
-        n = F.length(piece)
-        placed = _let(_codes(piece), lambda codes: _let(_grams(codes, gram), lambda g: F.slice(
-            F.transform(g, lambda h, i: h * F.lit(_PLACE).cast("long") + (F.lit(_PLACE - 1) - i)), 1, F.greatest(n - gram + 1, F.lit(0))
-        )))
-        windows = F.greatest(F.least(n - beyond, F.lit(PIECE)), F.when(number == 0, F.lit(1)).otherwise(F.lit(0)))
-        least = _let(placed, lambda v: F.array_distinct(F.slice(_minima(v, window), 1, windows)))
+        windows = F.greatest(F.least(F.length(piece) - beyond, F.lit(PIECE)), F.when(number == 0, F.lit(1)).otherwise(F.lit(0)))
+        least = _let(_grams(piece, gram), lambda v: F.array_distinct(F.slice(_minima(v, window), 1, windows)))
         at = number.cast("long") * PIECE + F.lit(_PLACE - 1)
-        return F.transform(least, lambda v: F.shiftleft(at - v % F.lit(_PLACE), 31) + F.shiftright(v, 12))
+        return F.transform(least, lambda v: F.shiftleft(at - v % F.lit(_PLACE), _HASH_BITS) + F.shiftright(v, 12))
 
     many = _let(pieces, lambda ps: F.transform(ps, lambda p, j: of_piece(p, j, ps)))
-    whole = F.aggregate(_codes(text), F.lit(0).cast("long"), lambda acc, c: (acc * BASE + c) % F.lit(PRIME))
     none = F.array().cast("array<array<bigint>>")
-    return F.when(F.coalesce(text, F.lit("")) == "", none).when((first == 0) & (F.length(text) < gram), F.array(F.array(whole))).otherwise(many)
+    whole = F.array(F.array(F.crc32(text.cast("binary"))))
+    return F.when(F.coalesce(text, F.lit("")) == "", none).when((first == 0) & (F.length(text) < gram), whole).otherwise(many)
 
 
 def joined(pieces: Column) -> Column:
@@ -112,17 +95,17 @@ def joined(pieces: Column) -> Column:
 
 
 def marks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The marks of a text in order of position, each as one number: position * 2^31 + hash."""
+    """The marks of a text in order of position, each as one number: position * 2^32 + hash."""
     return joined(piece_marks(text, F.lit(0), gram, window))
 
 
 def positions(found: Column) -> Column:
     """Marks as (position, hash)."""
-    return F.transform(found, lambda m: F.struct(F.shiftright(m, 31).alias("position"), m.bitwiseAND(F.lit(PRIME)).alias("hash")))
+    return F.transform(found, lambda m: F.struct(F.shiftright(m, _HASH_BITS).alias("position"), m.bitwiseAND(F.lit(_HASH)).alias("hash")))
 
 
 def hashes(found: Column) -> Column:
-    return F.array_distinct(F.transform(found, lambda m: m.bitwiseAND(F.lit(PRIME))))
+    return F.array_distinct(F.transform(found, lambda m: m.bitwiseAND(F.lit(_HASH))))
 
 
 def fingerprint(found: Column) -> Column:
