@@ -21,6 +21,11 @@ def received_in_window(pos: DataFrame, start, end) -> DataFrame:
     return pos.filter(in_dates("rec_date", start, end)).select(PO)
 
 
+def received_rows(pos: DataFrame, start, end) -> DataFrame:
+    """Received orders of the window, whole rows, of any source system."""
+    return pos.filter((F.col("tms_status_id") == K.PO_RECEIVED) & in_dates("rec_date", start, end))
+
+
 def _lines_of_touched_bills(received: DataFrame, bill_pos: DataFrame, hot: Column) -> DataFrame:
     """All lines of the bills that hold a ``received`` order."""
     links = live(bill_pos).select(PO, LOAD, BILL)

@@ -269,3 +269,31 @@ print("SUM", out.agg(F.sum("freight_paid_po").cast("decimal(28,0)")).first()[0],
                 read[event["Stage ID"]].append(event["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"])
     heavy = {stage: max(r) / sum(r) for stage, r in read.items() if sum(r) >= 20_000 and len(r) > 1}
     assert heavy and max(heavy.values()) < 0.2, heavy
+
+
+# --- weekly jobs from stored days
+
+
+def test_stored_days_follow_late_rows_over_three_weeks(spark, bed, tmp_path):
+    """Three runs a week apart, each with bills that came in late; every run equals the job over all history, and untouched months keep their files."""
+    from haulmark.plans import daily, jobs
+
+    path, lines = str(tmp_path / "days"), bed["bl_bill_pos"]
+    late = F.col(C.BILL) % 29
+    known = lines.filter(late > 2)
+    days = daily.whole_months(C.received_rows(bed["lo_purchase_orders"], "1990-01-01", "2005-12-31").select(F.to_date("rec_date").alias(daily.DAY)))
+    daily.store_days(daily.vendor_days(storage._Known(bed, bl_bill_pos=known), days), path)
+    for week, as_of in enumerate(("2001-12-17", "2001-12-24", "2001-12-31")):
+        now = storage._Known(bed, bl_bill_pos=lines.filter((late > 2) | (late <= week)))
+        came = lines.filter((late == week) & (F.col(C.BILL) < 600)) if week == 0 else lines.filter(late == week)
+        if week == 0:
+            now = storage._Known(bed, bl_bill_pos=lines.filter((late > 2) | ((late == 0) & (F.col(C.BILL) < 600))))
+        before = _files(path)
+        daily.store_days(daily.vendor_days(now, daily.touched_days(now, came.select(C.PO).distinct())), path)
+        after = _files(path)
+        if week == 0:
+            assert 0 < sum(before[m] != after[m] for m in before) < len(before)
+            lines = lines.filter((late != 0) | (F.col(C.BILL) < 600))
+        got = daily.metrics_of_days(daily.load_days(spark, path), bed["fp_default_config"], as_of)
+        want = jobs.weekly_vendor_metrics(now, as_of)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.select(*got.columns).collect()))
