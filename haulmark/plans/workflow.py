@@ -117,7 +117,7 @@ def parse_effective_dates(submissions: DataFrame, text: str = "source_system_dat
 def _chosen_vendors(t: Tables, submissions: DataFrame) -> DataFrame:
     """The live vendors a submission names, one row per form and vendor."""
     ids = submissions.select(
-        FORM, F.explode(F.split("vendor_numbers", ",")).alias("text")
+        FORM, F.explode(F.array_distinct(F.split("vendor_numbers", ","))).alias("text")
     ).select(FORM, F.trim("text").try_cast("bigint").alias("tms_vendor_id"))
     vendors = live(t["tms_vendor"]).select(
         "tms_vendor_id", "tms_whs_id", "vendor_number", F.col("source_system").alias("vendor_system")
@@ -125,107 +125,145 @@ def _chosen_vendors(t: Tables, submissions: DataFrame) -> DataFrame:
     return ids.distinct().join(vendors, "tms_vendor_id")
 
 
-def form_flags(t: Tables) -> DataFrame:
-    """One row per form with a flag for every form-level rule."""
-    pickups = live(t["fp_ff_pickup_locations"])
-    rows = live(t["fp_freight_form_vendor"])
-    used = rows.select("fp_ff_pickup_locations_id").distinct()
+def _pickups_with_use(t: Tables) -> DataFrame:
+    """One row per live pickup location: its form and whether a vendor row uses it unscheduled."""
     scheduled = F.col("d_rte").isNotNull() & F.col("pickup_day").isNotNull()
-    per_pickup = (
-        pickups.join(used.withColumn("used", F.lit(True)), "fp_ff_pickup_locations_id", "left")
-        .groupBy(FORM)
-        .agg(
-            F.count(F.lit(1)).alias("locations"),
-            F.max(F.coalesce(F.col("used"), F.lit(False)) & ~scheduled).alias("pickup_unscheduled"),
-        )
-    )
-    whs = t["tms_whs"].select(
-        "tms_whs_id", F.col("source_system").alias("whs_system"), F.lit(True).alias("known")
-    )
-    method = F.col("fp_ff_method_id")
-    per_form = (
-        rows.join(whs, "tms_whs_id", "left")
-        .groupBy(FORM)
-        .agg(
-            F.count(F.lit(1)).alias("vendor_rows"),
-            F.max(F.coalesce(ci(F.col("whs_system")) == K.EAST_SYSTEM, F.lit(False))).alias("has_east"),
-            F.max(F.coalesce(F.col("tms_whs_id") == K.YORK_WAREHOUSE, F.lit(False))).alias("has_york"),
-            F.max(F.coalesce(F.col("fp_ff_pickup_locations_id").isNull() & (method != K.VSP), F.lit(False))).alias("row_without_pickup"),
-            F.max(F.col("proposed_freight_per_lb").isNull() & F.coalesce(method != K.VSP, F.lit(True))).alias("row_without_freight"),
-            F.max(method.isNull() & F.coalesce(F.col("known"), F.lit(False))).alias("row_without_method"),
-            F.max(F.col("known").isNull()).alias("row_without_whs"),
-        )
+    places = live(t["fp_ff_pickup_locations"]).select(
+        "fp_ff_pickup_locations_id", FORM, (~scheduled).alias("bare"), F.lit(False).alias("used")
     )
-    approved = live(t["fp_ff_approval_status"]).select(FORM, F.lit(True).alias("approved")).distinct()
-    joined = (
-        t["fp_freight_form"]
-        .join(per_pickup, FORM, "left")
-        .join(per_form, FORM, "left")
-        .join(approved, FORM, "left")
+    uses = live(t["fp_freight_form_vendor"]).select("fp_ff_pickup_locations_id", F.lit(True).alias("used"))
+    both = places.unionByName(uses.filter("fp_ff_pickup_locations_id is not null"), allowMissingColumns=True)
+    return (
+        both.groupBy("fp_ff_pickup_locations_id")
+        .agg(F.max(FORM).alias(FORM), F.max("bare").alias("bare"), F.max("used").alias("used"))
+        .filter(F.col(FORM).isNotNull())
+        .select(FORM, F.struct((F.col("used") & F.col("bare")).alias("unscheduled")).alias("pickup"))
     )
-    alive = not_deleted()
 
-    def flag(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(False))
 
-    return joined.select(
+def _parts_of_forms(t: Tables, submissions: DataFrame) -> DataFrame:
+    """Everything a rule looks at, as one table of (form, part): the form, its pickups, rows and approvals, and what was submitted.
+
+    Each row fills one part and leaves the others NULL, so a single grouping by
+    form sees all of them.
+    """
+    alive, method = not_deleted(), F.col("fp_ff_method_id")
+    forms = t["fp_freight_form"].select(
         FORM,
-        "tms_status_id",
-        "fp_ff_type_id",
-        F.col("remit_number").alias("saved_remit"),
-        (or_zero(F.col("locations")) == 0).alias("no_location"),
-        (~(alive & F.col("tms_srm_id").isNotNull()) & F.col("approved").isNull()).alias("no_contact"),
-        (~(alive & F.col("supplier_name").isNotNull())).alias("no_supplier"),
-        (or_zero(F.col("vendor_rows")) == 0).alias("no_rows"),
-        (flag("has_east") & ~flag("has_york")).alias("no_york"),
-        (alive & F.col("freight_analyst_user_id").isNull()).alias("no_analyst"),
-        (alive & F.col("fp_ff_freight_change_reason_id").isNull()).alias("no_reason"),
-        (alive & F.col("fp_ff_allowance_type_id").isNull()).alias("no_allowance_type"),
-        *[
-            flag(c).alias(c)
-            for c in ("pickup_unscheduled", "row_without_pickup", "row_without_freight", "row_without_method", "row_without_whs")
-        ],
-    )
-
-
-def _closing_flags(t: Tables, submissions: DataFrame, as_of: dt.date) -> DataFrame:
-    """Form-level flags that depend on what was submitted for closing."""
-    dates = parse_effective_dates(submissions)
-    per_dates = dates.groupBy(FORM).agg(
-        F.max(F.col("effective_date").isNull()).alias("date_missing"),
-        F.max(F.coalesce(F.col("effective_date") <= F.lit(as_of), F.lit(False))).alias("date_past"),
-        F.max(ci(F.col("source_system")) == K.EAST_SYSTEM).alias("east_asked"),
-    )
-    processed = (
-        live(t["fp_freight_form_vendor"])
-        .filter("processed_flag")
-        .select(FORM, "tms_whs_id")
-        .join(t["tms_whs"].select("tms_whs_id", ci(F.col("source_system")).alias("system")), "tms_whs_id")
-        .join(dates.select(FORM, ci(F.col("source_system")).alias("system")), [FORM, "system"], "left_semi")
-        .select(FORM, F.lit(True).alias("already_processed"))
-        .distinct()
-    )
-    chosen = _chosen_vendors(t, submissions)
-    doubled = (
-        chosen.join(live(t["tms_whs"]).select("tms_whs_id"), "tms_whs_id")
-        .groupBy(FORM, "tms_whs_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select(FORM, F.lit(True).alias("whs_twice"))
-        .distinct()
-    )
-    numbers = (
-        chosen.filter(ci(F.col("vendor_system")) == K.EAST_SYSTEM)
-        .groupBy(FORM)
-        .agg((F.min("vendor_number") != F.max("vendor_number")).alias("east_numbers_differ"))
+        F.struct(
+            "tms_status_id",
+            "fp_ff_type_id",
+            F.col("remit_number").alias("saved_remit"),
+            (alive & F.col("tms_srm_id").isNotNull()).alias("contact"),
+            (alive & F.col("supplier_name").isNotNull()).alias("supplier"),
+            (alive & F.col("freight_analyst_user_id").isNull()).alias("no_analyst"),
+            (alive & F.col("fp_ff_freight_change_reason_id").isNull()).alias("no_reason"),
+            (alive & F.col("fp_ff_allowance_type_id").isNull()).alias("no_allowance_type"),
+        ).alias("form"),
     )
-    return (
-        submissions.select(FORM, "send_to_backhaul", F.col("remit_number").alias("asked_remit"), "user_id")
-        .join(per_dates, FORM, "left")
-        .join(processed, FORM, "left")
-        .join(doubled, FORM, "left")
-        .join(numbers, FORM, "left")
+    whs = t["tms_whs"].select(
+        "tms_whs_id", "whs_number", "name", ci(F.col("source_system")).alias("system"), not_deleted().alias("whs_live"), F.lit(True).alias("known")
+    )
+    rows = live(t["fp_freight_form_vendor"]).join(whs, "tms_whs_id", "left").select(
+        FORM,
+        F.struct(
+            ROW,
+            "tms_whs_id",
+            "whs_number",
+            "name",
+            "system",
+            F.coalesce("whs_live", F.lit(False)).alias("whs_live"),
+            F.coalesce("known", F.lit(False)).alias("known"),
+            F.coalesce("processed_flag", F.lit(False)).alias("processed"),
+            F.coalesce(F.col("system") == K.EAST_SYSTEM, F.lit(False)).alias("east"),
+            F.coalesce(F.col("tms_whs_id") == K.YORK_WAREHOUSE, F.lit(False)).alias("york"),
+            F.coalesce(F.col("fp_ff_pickup_locations_id").isNull() & (method != K.VSP), F.lit(False)).alias("without_pickup"),
+            (F.col("proposed_freight_per_lb").isNull() & F.coalesce(method != K.VSP, F.lit(True))).alias("without_freight"),
+            method.isNull().alias("without_method"),
+        ).alias("row"),
+    )
+    approved = live(t["fp_ff_approval_status"]).select(FORM, F.lit(True).alias("approved"))
+    dates = parse_effective_dates(submissions).select(
+        FORM, F.struct(ci(F.col("source_system")).alias("system"), "effective_date").alias("date")
+    )
+    live_whs = t["tms_whs"].select("tms_whs_id", not_deleted().alias("whs_live"))
+    vendors = _chosen_vendors(t, submissions).join(live_whs, "tms_whs_id", "left").select(
+        FORM,
+        F.struct(
+            "tms_vendor_id", "tms_whs_id", "vendor_number", ci(F.col("vendor_system")).alias("system"), F.coalesce("whs_live", F.lit(False)).alias("whs_live")
+        ).alias("vendor"),
     )
+    asked = submissions.select(FORM, F.struct("send_to_backhaul", F.col("remit_number").alias("asked_remit"), "user_id").alias("asked"))
+    every = forms
+    for part in (_pickups_with_use(t), rows, approved, dates, vendors, asked):
+        every = every.unionByName(part, allowMissingColumns=True)
+    return every
+
+
+def form_facts(t: Tables, submissions: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row per submission with a flag for every rule, and the rows that fail on their own.
+
+    All child tables meet in one grouping by form and every flag is a conditional
+    aggregate of it. The arrays are as short as a form's list of warehouses.
+    """
+
+    def any_of(part: str, test: Column) -> Column:
+        return F.coalesce(F.max(F.when(F.col(part).isNotNull(), test)), F.lit(False))
+
+    def count_of(part: str) -> Column:
+        return F.count(F.when(F.col(part).isNotNull(), 1))
+
+    date = F.col("date.effective_date")
+    grouped = _parts_of_forms(t, submissions).groupBy(FORM).agg(
+        F.first("form", ignorenulls=True).alias("form"),
+        F.collect_list("asked").alias("asked"),
+        (count_of("pickup") == 0).alias("no_location"),
+        any_of("pickup", F.col("pickup.unscheduled")).alias("pickup_unscheduled"),
+        any_of("approved", F.col("approved")).alias("approved"),
+        (count_of("row") == 0).alias("no_rows"),
+        *[any_of("row", F.col(f"row.{c}")).alias(f"row_{c}") for c in ("east", "york", "without_pickup", "without_freight")],
+        any_of("row", F.col("row.without_method") & F.col("row.known")).alias("row_without_method"),
+        any_of("row", ~F.col("row.known")).alias("row_without_whs"),
+        F.collect_list(F.when(F.col("row.known"), F.col("row"))).alias("rows"),
+        F.max(F.when(F.col("date").isNotNull(), date.isNull())).alias("date_missing"),
+        F.max(F.when(F.col("date").isNotNull(), F.coalesce(date <= F.lit(as_of), F.lit(False)))).alias("date_past"),
+        F.max(F.col("date.system") == K.EAST_SYSTEM).alias("east_asked"),
+        F.collect_set("date.system").alias("systems"),
+        F.collect_set("vendor").alias("vendors"),
+    )
+    homes = F.transform(F.filter("vendors", lambda v: v["whs_live"]), lambda v: v["tms_whs_id"])
+    numbers = F.transform(F.filter("vendors", lambda v: v["system"] == K.EAST_SYSTEM), lambda v: v["vendor_number"])
+    redone = F.transform(F.filter("rows", lambda r: r["processed"]), lambda r: r["system"])
+    covered = F.transform("vendors", lambda v: v["tms_whs_id"])
+    return grouped.filter("form is not null").select(
+        FORM,
+        "form.*",
+        F.explode("asked").alias("asked"),
+        "no_location",
+        (~F.col("form.contact") & ~F.col("approved")).alias("no_contact"),
+        (~F.col("form.supplier")).alias("no_supplier"),
+        "no_rows",
+        (F.col("row_east") & ~F.col("row_york")).alias("no_york"),
+        "pickup_unscheduled",
+        "row_without_pickup",
+        "row_without_freight",
+        "row_without_method",
+        "row_without_whs",
+        "date_missing",
+        "date_past",
+        "east_asked",
+        F.arrays_overlap(F.array_compact(redone), "systems").alias("already_processed"),
+        (F.size(homes) > F.size(F.array_distinct(homes))).alias("whs_twice"),
+        (F.array_min(numbers) != F.array_max(numbers)).alias("east_numbers_differ"),
+        F.filter("rows", lambda r: r["without_method"]).alias("rows_without_method"),
+        F.when(
+            F.col("form.fp_ff_type_id") == 1,
+            F.filter(
+                "rows",
+                lambda r: r["whs_live"] & F.coalesce(F.array_contains("systems", r["system"]), F.lit(False)) & ~F.array_contains(covered, r["tms_whs_id"]),
+            ),
+        ).alias("rows_without_vendor"),
+    ).select("*", "asked.*").drop("asked")
 
 
 def _failed(rule: Rule) -> Column:
@@ -244,25 +282,6 @@ def _all_failed(rules) -> Column:
     return F.array_compact(F.array(*[_failed(r) for r in rules]))
 
 
-def missing_vendor_rows(t: Tables, submissions: DataFrame) -> DataFrame:
-    """Rows of new forms whose warehouse, though asked for, got no vendor."""
-    asked = parse_effective_dates(submissions).select(FORM, ci(F.col("source_system")).alias("system")).distinct()
-    whs = live(t["tms_whs"]).select(
-        "tms_whs_id", "whs_number", "name", ci(F.col("source_system")).alias("system")
-    )
-    covered = _chosen_vendors(t, submissions).select(FORM, "tms_whs_id").distinct()
-    new = t["fp_freight_form"].filter(F.col("fp_ff_type_id") == 1).select(FORM)
-    return (
-        live(t["fp_freight_form_vendor"])
-        .select(FORM, ROW, "tms_whs_id")
-        .filter(F.col("tms_whs_id").isNotNull())
-        .join(new, FORM, "left_semi")
-        .join(whs, "tms_whs_id")
-        .join(asked, [FORM, "system"], "left_semi")
-        .join(covered, [FORM, "tms_whs_id"], "left_anti")
-    )
-
-
 def validate_forms(t: Tables, submissions: DataFrame, as_of: dt.date) -> DataFrame:
     """Error rows of every submitted form at its stage.
 
@@ -280,8 +299,7 @@ def validate_forms(t: Tables, submissions: DataFrame, as_of: dt.date) -> DataFra
         held = held.when(status == stage, F.coalesce(test, F.lit(False)))
         refused = refused.when(status == stage, ROLE_NAMES[names])
     submitted = (
-        form_flags(t)
-        .join(_closing_flags(t, submissions, as_of), FORM)
+        form_facts(t, submissions, as_of)
         .join(roles, F.col("user_id") == F.col("sec_users_id"), "left")
         .withColumn("cleared", held.otherwise(False))
         .withColumn("refused_role", refused)
@@ -316,59 +334,51 @@ def validate_forms(t: Tables, submissions: DataFrame, as_of: dt.date) -> DataFra
         status,
         "cleared",
         rows_without_method.alias("row_errors"),
+        "rows_without_method",
+        "rows_without_vendor",
         F.concat(
             F.array_compact(F.array(base, _failed(YORK), clearance)), _all_failed(STAGE_RULES + CLOSING_RULES)
         ).alias("first"),
         _all_failed(LATER_RULES).alias("later"),
     ).withColumn("clean", (F.size("first") == 0) & ~F.col("row_errors"))
-    form_errors = checked.select(
-        FORM, F.explode(F.when(F.col("clean"), F.col("later")).otherwise(F.col("first"))).alias("e")
-    ).select(
-        "e.title", "e.detail", "e.field_name", F.col(FORM).alias("form_id"), F.lit(None).cast("bigint").alias("form_vendor_id")
-    )
-    no_method = (
-        live(t["fp_freight_form_vendor"])
-        .filter(F.col("fp_ff_method_id").isNull())
-        .select(FORM, ROW, "tms_whs_id")
-        .join(t["tms_whs"].select("tms_whs_id", "whs_number", "name"), "tms_whs_id")
-        .join(checked.filter("row_errors").select(FORM), FORM, "left_semi")
-        .select(
-            F.lit("All warehouses require a selected method").alias("title"),
-            F.concat(F.lit("Warehouse "), "whs_number", F.lit(" "), "name", F.lit(" has no selected method")).alias("detail"),
-            F.lit(None).cast("string").alias("field_name"),
-            F.col(FORM).alias("form_id"),
-            F.col(ROW).alias("form_vendor_id"),
+
+    def of_form(e: Column) -> Column:
+        none = F.lit(None).cast("bigint").alias("form_vendor_id")
+        return F.struct(e["title"].alias("title"), e["detail"].alias("detail"), e["field_name"].alias("field_name"), none)
+
+    def of_row(title: str, end: str):
+        text = F.lit(None).cast("string").alias("field_name")
+        return lambda r: F.struct(
+            F.lit(title).alias("title"),
+            F.concat(F.lit("Warehouse "), r["whs_number"], F.lit(" "), r["name"], F.lit(end)).alias("detail"),
+            text,
+            r[ROW].alias("form_vendor_id"),
         )
+
+    form_errors = F.transform(F.when(F.col("clean"), F.col("later")).otherwise(F.col("first")), of_form)
+    no_method = F.transform(
+        F.when(F.col("row_errors"), F.col("rows_without_method")),
+        of_row("All warehouses require a selected method", " has no selected method"),
     )
-    closing = checked.filter((status == K.CLOSING) & F.col("cleared") & F.col("clean")).select(FORM)
-    no_vendor = (
-        missing_vendor_rows(t, submissions)
-        .join(closing, FORM, "left_semi")
-        .select(
-            F.lit("Warehouse has no vendor assigned to it").alias("title"),
-            F.concat(
-                F.lit("Warehouse "), "whs_number", F.lit(" "), "name", F.lit(" has no associated vendor from the list you have provided")
-            ).alias("detail"),
-            F.lit(None).cast("string").alias("field_name"),
-            F.col(FORM).alias("form_id"),
-            F.col(ROW).alias("form_vendor_id"),
-        )
+    no_vendor = F.transform(
+        F.when((status == K.CLOSING) & F.col("cleared") & F.col("clean"), F.col("rows_without_vendor")),
+        of_row("Warehouse has no vendor assigned to it", " has no associated vendor from the list you have provided"),
+    )
+    found = [F.coalesce(e, F.slice(form_errors, 1, 0)) for e in (form_errors, no_method, no_vendor)]
+    return checked.select(F.col(FORM).alias("form_id"), F.explode(F.concat(*found)).alias("e")).select(
+        "e.title", "e.detail", "e.field_name", "form_id", "e.form_vendor_id"
     )
-    return form_errors.unionByName(no_method).unionByName(no_vendor)
 
 
 def closing_checks(t: Tables, submissions: DataFrame, as_of: dt.date) -> DataFrame:
     """The closing flags of every submitted form, whatever its stage."""
-    flags = form_flags(t).select(FORM, "fp_ff_type_id", "saved_remit", "row_without_whs")
-    missing = missing_vendor_rows(t, submissions).groupBy(FORM).agg(F.count(F.lit(1)).alias("rows_without_vendor"))
     new_form = F.col("fp_ff_type_id") == 1
-    joined = _closing_flags(t, submissions, as_of).join(flags, FORM).join(missing, FORM, "left")
-    return joined.select(
+    return form_facts(t, submissions, as_of).select(
         FORM,
         *[F.coalesce(c, F.lit(False)).alias(c) for c in ("date_missing", "date_past", "already_processed", "row_without_whs", "whs_twice")],
         F.coalesce(new_form & (F.col("asked_remit") != F.col("saved_remit")), F.lit(False)).alias("other_remit"),
         F.coalesce(new_form & F.col("east_asked") & F.col("east_numbers_differ"), F.lit(False)).alias("two_east_numbers"),
-        F.coalesce("rows_without_vendor", F.lit(0)).alias("rows_without_vendor"),
+        F.greatest(F.coalesce(F.size("rows_without_vendor"), F.lit(0)), F.lit(0)).cast("bigint").alias("rows_without_vendor"),
     )
 
 

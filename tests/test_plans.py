@@ -46,3 +46,12 @@ def test_no_hint_forces_a_broadcast():
             continue
         text = file.read_text()
         assert "broadcast(" not in text and ".crossJoin(" not in text and "localCheckpoint" not in text, file
+
+
+def test_all_form_rules_take_three_shuffles(spark, bed):
+    import datetime as dt
+
+    from haulmark.plans import workflow as W
+
+    plan = plan_of(W.validate_forms(bed, bed["submissions"], dt.date(2002, 1, 1)))
+    assert 1 <= plan.count("Exchange hashpartitioning") <= 3, plan

@@ -297,3 +297,62 @@ def test_stored_days_follow_late_rows_over_three_weeks(spark, bed, tmp_path):
         got = daily.metrics_of_days(daily.load_days(spark, path), bed["fp_default_config"], as_of)
         want = jobs.weekly_vendor_metrics(now, as_of)
         assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.select(*got.columns).collect()))
+
+
+# --- foreign lookup
+
+
+def test_a_lookup_asks_for_two_columns_and_the_wanted_keys(spark, tmp_path):
+    from haulmark.sources.lookup import FolderReader, KeyRange, values_for
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThanOrEqual
+
+    path = str(tmp_path / "foreign")
+    spark.range(5000).select((F.col("id") * 3).alias("vendor"), F.concat(F.lit("n"), F.col("id")).alias("name"), F.lit("wide").alias("other")).write.parquet(path)
+    few = spark.createDataFrame([(3,), (4,), (None,), (3000,), (3,)], "remit int")
+    found = values_for(few, "remit", path, "name", "vendor")
+    assert sorted(map(tuple, found.collect())) == [(3, "n1"), (3000, "n1000")] and found.columns == ["vendor", "name"]
+    many = spark.range(0, 15_000, 2).withColumnRenamed("id", "vendor")
+    assert values_for(many, "vendor", path, "name").count() == 2500
+    assert values_for(few.limit(0), "remit", path, "name", "vendor").count() == 0
+
+    reader = FolderReader({"path": path, "key": "vendor", "value": "name", "first": "0", "last": "999", "partitions": "4"})
+    assert reader.partitions() == [KeyRange(0, 249), KeyRange(250, 499), KeyRange(500, 749), KeyRange(750, 999)]
+    left = list(reader.pushFilters([In(("vendor",), (3, 5, 600, 2000)), EqualTo(("name",), "n1"), GreaterThan(("vendor",), 3), LessThanOrEqual(("vendor",), 700)]))
+    assert left == [EqualTo(("name",), "n1")]
+    ranges = reader.partitions()
+    assert [k for r in ranges for k in r.keys] == [5, 600]
+    batches = [b for r in ranges for b in reader.read(r)]
+    assert [b.column_names for b in batches] == [["vendor", "name"]] and batches[0].to_pydict() == {"vendor": [600], "name": ["n200"]}
+
+
+def test_named_keys_reach_the_reader(spark, tmp_path):
+    from haulmark.sources.lookup import values_for
+
+    path = str(tmp_path / "foreign")
+    spark.range(100).select(F.col("id").alias("vendor"), F.col("id").cast("string").alias("name")).write.parquet(path)
+    found = values_for(spark.createDataFrame([(7,), (70,)], "vendor long"), "vendor", path, "name")
+    assert found.rdd.getNumPartitions() == 2  # two of eight ranges hold a wanted key
+    assert sorted(r.vendor for r in found.collect()) == [7, 70]
+
+
+# --- schema versions
+
+
+def test_versions_read_as_one_and_back(spark, tmp_path):
+    from haulmark.sources import sinks, versions
+
+    path = str(tmp_path / "t")
+    steps = [[("rename", "rate", "default_rate"), ("add", "ucs_rate", "int"), ("fill", "ucs_rate", 5)], [("drop", "note", "string")]]
+    v0 = spark.createDataFrame([(1, 10, "a")], "id long, rate int, note string")
+    versions.write_version(v0, path, 0)
+    versions.write_version(sinks.migrate(spark.createDataFrame([(2, 20, "b")], "id long, rate int, note string"), steps[0]), path, 1)
+    versions.write_version(spark.createDataFrame([(3, 30, 7)], "id long, default_rate int, ucs_rate int"), path, 2)
+    now = versions.read_as(spark, path, steps, 2).orderBy("id")
+    assert now.columns == ["id", "default_rate", "ucs_rate"] and [tuple(r) for r in now.collect()] == [(1, 10, 5), (2, 20, 5), (3, 30, 7)]
+    back = versions.read_as(spark, path, steps, 0).orderBy("id")
+    assert [tuple(r) for r in back.select("id", "rate", "note").collect()] == [(1, 10, "a"), (2, 20, "b"), (3, 30, None)]
+    assert "GreaterThan(default_rate,15)" in plan_of(versions.read_as(spark, path, steps, 2).filter("default_rate > 15"))
+    versions.write_version(v0, path, 0)  # rows of an old writer are still welcome
+    assert versions.read_as(spark, path, steps, 2).count() == 4
+    with pytest.raises(FileNotFoundError):
+        versions.read_as(spark, str(tmp_path / "none"), steps, 1)
