@@ -115,14 +115,14 @@ def parse_effective_dates(submissions: DataFrame, text: str = "source_system_dat
 
 
 def _chosen_vendors(t: Tables, submissions: DataFrame) -> DataFrame:
-    """The live vendors a submission names, one row per form and vendor."""
+    """The live vendors a submission names; a vendor named twice may stand twice."""
     ids = submissions.select(
         FORM, F.explode(F.array_distinct(F.split("vendor_numbers", ","))).alias("text")
     ).select(FORM, F.trim("text").try_cast("bigint").alias("tms_vendor_id"))
     vendors = live(t["tms_vendor"]).select(
         "tms_vendor_id", "tms_whs_id", "vendor_number", F.col("source_system").alias("vendor_system")
     )
-    return ids.distinct().join(vendors, "tms_vendor_id")
+    return ids.join(vendors, "tms_vendor_id")
 
 
 def _pickups_with_use(t: Tables) -> DataFrame:
