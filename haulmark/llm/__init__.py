@@ -1,7 +1,7 @@
 """Operators for preparing language-model training data, each over whole tables.
 
 ``QUERIES`` and ``CHECKS`` hold the registered queries and, where SQL can say
-the same, their checks. Functions that run inside tasks are pickled by value,
+the same, their checks. Functions that run inside workers are pickled by value,
 so workers need not find this package on their own path.
 """
 

@@ -3,7 +3,7 @@
 Method. Words, and their last bytes, are units hashed into ``BUCKETS`` places.
 Each unit has a fixed sparse random index vector; a unit's vector is the sum of
 the index vectors of the words around all its occurrences in the corpus, added
-up by all tasks and reduced in rounds. The table of vectors has a fixed size
+up by all workers and reduced in rounds. The table of vectors has a fixed size
 whatever the corpus. A document is the mean and the spread of its words'
 vectors. A network of two layers in numpy learns the labels of at most
 ``SAMPLE`` labelled documents (those with the smallest hash of their id), and a

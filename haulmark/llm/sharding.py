@@ -8,7 +8,7 @@ The phase is a hash of the source, which keeps many small sources from meeting
 at one place. Counts of shards differ by one row at most (law ``rows``).
 
 Both rankings sort inside key ranges only (``common.ranked``), so a source with
-a third of all rows is sorted by many tasks, and only narrow columns move.
+a third of all rows is sorted by many workers, and only narrow columns move.
 
 Defined cases. Null texts and sources count as values of their own; a null text
 has 0 bytes. Repeated rows are dealt one by one. With fewer rows than shards

@@ -1,4 +1,4 @@
-"""Adding up one array per task without gathering all of them in one place."""
+"""Adding up one array per partition without gathering all of them in one place."""
 
 from __future__ import annotations
 
@@ -34,10 +34,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def summed(parts: DataFrame, size: int, fan_in: int = 32) -> np.ndarray:
     """The sum of all arrays of ``size`` numbers in ``parts``, by rounds of ``fan_in``; the last few sums come to the driver, one array's size each."""
-    tasks = parts.rdd.getNumPartitions()
-    while tasks > fan_in:
-        tasks = -(-tasks // fan_in)
-        parts = parts.repartition(tasks).mapInArrow(_merge, SCHEMA)
+    parts_left = parts.rdd.getNumPartitions()
+    while parts_left > fan_in:
+        parts_left = -(-parts_left // fan_in)
+        parts = parts.repartition(parts_left).mapInArrow(_merge, SCHEMA)
     out = np.zeros(size)
     for row in parts.repartition("block").mapInArrow(_merge, SCHEMA).toLocalIterator():
         values = np.frombuffer(bytes(row["part"]), np.float64)
