@@ -150,11 +150,13 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(node, members) for the nodes of ``wanted``, from the text of one document of each."""
-    found = written(nodes.join(wanted, "node", "left_semi").select("node", "__id", "__hash"))
+    """(node, members) for the nodes of ``wanted``, from the text of one document of each; ``twice`` marks those whose row repeats."""
+    found = written(nodes.join(wanted, "node", "left_semi").select("node", "__id", "__hash", "twice"))
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__hash"), "text")
     held = meet(texts, small(found, BROADCAST_ROWS), ["__id", "__hash"])
-    return written(full_sets(held, width).dropDuplicates(["node"]))
+    # only rows that occur twice have to be told apart, and by their texts, not by their sets
+    once = held.where("not twice").select("node", "text").unionByName(held.where("twice").select("node", "text").dropDuplicates(["node"]))
+    return written(full_sets(once, width))
 
 
 def _proved(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -234,12 +236,18 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) ->
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
     large = written(sizes.where(F.col("c") >= LARGE).select("label", F.ceil(F.col("c") / BLOCK).alias("blocks")))
     by_group = written(_with_large(rows, labels, large, nodes, docs, width, percent))
-    rest = written(rows.join(large, "label", "left_anti").join(nodes.select("node", "sketch"), "node"))
-    one = rest.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("sketch").alias("sa"))
-    two = rest.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("sketch").alias("sb"))
-    apart_yet = (F.col("one.value") == F.col("two.value")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
-    close = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
-    pairs = one.alias("one").join(two.alias("two"), apart_yet & close & _alike("sa", "sb")).select("a", "b").distinct()
+    rest = rows.join(large, "label", "left_anti")
+    mine = rest.groupBy("node").agg(F.collect_set("value").alias("mine"))
+    rest = written(rest.join(nodes.select("node", "sketch"), "node").join(mine, "node"))
+    one, two = (
+        rest.select("value", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label", "sketch", "mine")]) for s in ("a", "b")
+    )
+    apart_yet = (F.col("one.value") == F.col("two.value")) & (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+    close = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
+    # a pair meets in every list it shares and is looked at in the least of them only
+    first = F.col("one.value") == F.array_min(F.array_intersect("mine_a", "mine_b"))
+    met = one.alias("one").join(two.alias("two"), apart_yet & close & first & _alike("sketch_a", "sketch_b"))
+    pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     proved = written(_proved(written(pairs), nodes, docs, width, percent))
     return components(links.unionByName(by_group).unionByName(proved))
 
@@ -247,7 +255,9 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) ->
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per document row: __id, __hash, n (size of its set), component_id (smallest id that links reach)."""
     rows = written(sketches(docs, width, 2 if percent >= NEIGHBOURS_FROM else 1))
-    nodes = written(rows.where("n > 0").dropDuplicates(["print"]).withColumn("node", F.monotonically_increasing_id()))
+    repeated = rows.groupBy("__id", "__hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("__id", "__hash", F.lit(True).alias("twice"))
+    single = meet(rows.where("n > 0").dropDuplicates(["print"]), small(written(repeated), BROADCAST_ROWS), ["__id", "__hash"], "left")
+    nodes = written(single.withColumn("twice", F.coalesce("twice", F.lit(False))).withColumn("node", F.monotonically_increasing_id()))
     labels = nodes.select("print", "node").join(linked_nodes(nodes, docs, width, percent), "node", "left")
     labels = written(labels.select("print", F.coalesce("label", "node").alias("label")))
     named = rows.select("__id", "__hash", "n", "print").join(labels, "print", "left")
