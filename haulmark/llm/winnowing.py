@@ -42,7 +42,10 @@ PIECE = 512
 BIN_ROWS, BOUNDS = 500, 512
 #: Up to so many bins, their first rows are broadcast.
 BROADCAST_ROWS = 100_000
-_PLACE, _HASH_BITS, _HASH = 1 << 12, 32, (1 << 32) - 1
+#: Code points that one match of the reading expression goes forward.
+STEP = 8
+_PLACE_BITS, _HASH_BITS, _HASH = 12, 32, (1 << 32) - 1
+_PLACE = 1 << _PLACE_BITS
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -63,40 +66,66 @@ def _minima(values: Column, window: int) -> Column:
 
 
 def _grams(text: Column, gram: int) -> Column:
-    """The hashes of all runs of ``gram`` code points, each with its place below it so that the rightmost of equal ones is least."""
-    runs = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{gram}}}))."), F.lit(1))
-    return F.transform(runs, lambda g, i: F.crc32(g.cast("binary")) * F.lit(_PLACE).cast("long") + (F.lit(_PLACE - 1) - i))
+    """The hashes of all runs of ``gram`` code points, each with its place below it so that the rightmost of equal ones is least.
+
+    The text is read in steps of ``STEP`` code points, each with what its runs need beyond it.
+    """
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{gram + STEP - 1}}})).{{1,{STEP}}}"), F.lit(1))
+
+    def runs(chunk: Column, below: Column) -> Column:
+        hashes = [F.crc32(F.substring(chunk, j + 1, gram).cast("binary")) for j in range(STEP)]
+        return F.array(*[F.shiftleft(h, _PLACE_BITS) + (below - j) for j, h in enumerate(hashes)])
+
+    each = F.transform(chunks, lambda c, i: _let(F.lit(_PLACE - 1) - i * STEP, lambda below: runs(c, below)))
+    return F.slice(F.flatten(each), 1, F.greatest(F.length(text) - gram + 1, F.lit(0)))
 
 
-def piece_marks(text: Column, first: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The marks of each piece of a text; ``first`` is the number of its first piece in the text that it ends."""
+def marks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+    """The marks of a text in order of position, each as one number: position * 2^32 + hash."""
     beyond = gram + window - 2
     pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
 
-    def of_piece(piece: Column, at: Column, all_pieces: Column) -> Column:
-        tail = F.coalesce(F.substring(F.get(all_pieces, at + 1), 1, beyond), F.lit(""))
-        return _let(F.concat(piece, tail), lambda p: chosen(p, at + first))
+    def of_piece(piece: Column, number: Column, all_pieces: Column) -> Column:
+        tail = F.coalesce(F.substring(F.get(all_pieces, number + 1), 1, beyond), F.lit(""))
+        return _let(F.concat(piece, tail), lambda p: chosen(p, number))
 
     def chosen(piece: Column, number: Column) -> Column:
         windows = F.greatest(F.least(F.length(piece) - beyond, F.lit(PIECE)), F.when(number == 0, F.lit(1)).otherwise(F.lit(0)))
         least = _let(_grams(piece, gram), lambda v: F.array_distinct(F.slice(_minima(v, window), 1, windows)))
         at = number.cast("long") * PIECE + F.lit(_PLACE - 1)
-        return F.transform(least, lambda v: F.shiftleft(at - v % F.lit(_PLACE), _HASH_BITS) + F.shiftright(v, 12))
+        return F.transform(least, lambda v: F.shiftleft(at - v % F.lit(_PLACE), _HASH_BITS) + F.shiftright(v, _PLACE_BITS))
 
-    many = _let(pieces, lambda ps: F.transform(ps, lambda p, j: of_piece(p, j, ps)))
-    none = F.array().cast("array<array<bigint>>")
-    whole = F.array(F.array(F.crc32(text.cast("binary"))))
-    return F.when(F.coalesce(text, F.lit("")) == "", none).when((first == 0) & (F.length(text) < gram), whole).otherwise(many)
+    # neighbouring pieces share marks
+    many = _let(pieces, lambda ps: F.array_distinct(F.flatten(F.transform(ps, lambda p, j: of_piece(p, j, ps)))))
+    none, whole = F.array().cast("array<bigint>"), F.array(F.crc32(text.cast("binary")))
+    return F.when(F.coalesce(text, F.lit("")) == "", none).when(F.length(text) < gram, whole).otherwise(many)
 
 
-def joined(pieces: Column) -> Column:
-    """The marks of a text from those of its pieces; neighbours share marks."""
-    return F.array_distinct(F.flatten(pieces))
+def _moved(found: Column, by: Column) -> Column:
+    return F.transform(found, lambda m: m + F.shiftleft(by.cast("long"), _HASH_BITS))
 
 
-def marks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The marks of a text in order of position, each as one number: position * 2^32 + hash."""
-    return joined(piece_marks(text, F.lit(0), gram, window))
+def _before(found: Column, position: Column) -> Column:
+    return F.filter(found, lambda m: m < F.shiftleft(position.cast("long"), _HASH_BITS))
+
+
+def marks_of_joined(own: str, text: str, kept: Column, other: str, other_text: str, taken: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+    """The marks of the first ``kept`` code points of ``text`` followed by the first ``taken`` of ``other_text``, from the marks of both.
+
+    A mark that stands a window and a gram before an end was chosen there, whatever follows; only the windows about the
+    seam and at the end are looked at again.
+    """
+    beyond = gram + window - 2
+    reach = beyond + window - 1
+    long_enough = taken >= reach
+    first = F.substring(text, kept - reach + 1, F.lit(reach))
+    seam = F.concat(first, F.substring(other_text, F.lit(1), F.when(long_enough, F.lit(beyond)).otherwise(taken)))
+    end = F.substring(other_text, taken - reach + 1, F.lit(reach))
+    parts = [_before(F.col(own), kept - beyond), _moved(marks(seam, gram, window), kept - reach)]
+    rest = F.concat(_moved(_before(F.col(other), taken - beyond), kept), _moved(marks(end, gram, window), kept + taken - reach))
+    after = F.when(long_enough, rest).otherwise(F.array().cast("array<bigint>"))
+    whole = marks(F.concat(F.substring(text, F.lit(1), kept), F.substring(other_text, F.lit(1), taken)), gram, window)
+    return F.when(kept >= reach, F.array_sort(F.array_distinct(F.concat(*parts, after)))).otherwise(whole)
 
 
 def positions(found: Column) -> Column:
@@ -168,18 +197,17 @@ def with_next(docs: DataFrame, *carried: tuple[str, Column]) -> DataFrame:
 def report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Per document row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_marks.
 
-    The edited text has its last third replaced by the beginning of the next
-    document; pieces that lie before the edit keep the marks they have.
+    The edited text has its last third replaced by the beginning of the next document.
     """
-    rows = with_next(docs, ("pieces", piece_marks(F.col("text"), F.lit(0), gram, window)))
+    rows = with_next(docs, ("own", marks(F.col("text"), gram, window)))
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
-    same = F.greatest(F.floor((n - third - F.lit(gram + window - 2)) / PIECE), F.lit(0)).cast("int")
-    shown = rows.select("doc_id", n.cast("long").alias("n_chars"), "pieces", joined(F.col("pieces")).alias("own"), joined(F.col("next_pieces")).alias("next_own"), edited.alias("edited"), same.alias("same"))
-    rest = F.substring("edited", F.col("same") * PIECE + 1, F.length("edited"))
-    other = shown.withColumn("tail", rest).withColumn("tail_pieces", piece_marks(F.col("tail"), F.col("same"), gram, window))
-    other = other.withColumn("edited_marks", joined(F.concat(F.slice("pieces", F.lit(1), F.col("same")), F.col("tail_pieces"))))
+    cut = rows.withColumn("kept", n - third).withColumn("taken", F.least(third, F.length("next_text")))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("kept")), F.substring("next_text", F.lit(1), F.col("taken")))
+    other = cut.select(
+        "doc_id", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"),
+        marks_of_joined("own", "text", F.col("kept"), "next_own", "next_text", F.col("taken"), gram, window).alias("edited_marks"),
+    )
     sets = other.select("*", *[hashes(F.col(c)).alias(f"{c}_set") for c in ("own", "next_own", "edited_marks")])
     return sets.select(
         "doc_id",
