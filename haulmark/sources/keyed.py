@@ -38,9 +38,9 @@ def load_touched(spark: SparkSession, path: str, changes: DataFrame, keys: Seque
 
 
 def once_per_key(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``changes``, refused at run time when a key has two of them."""
+    """``changes`` that have a key, refused at run time when a key has two of them."""
     values = [c for c in changes.columns if c not in keys]
-    rows = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*keys, *values)).alias("_row"))
+    rows = changes.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*keys, *values)).alias("_row"))
     told = F.concat(F.lit("two changes for one key: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
     checked = F.when(F.col("_n") > 1, F.raise_error(told).cast("int")).otherwise(F.lit(0))
     return rows.filter(checked == 0).select(*keys, *[F.col("_row")[v].alias(v) for v in values])

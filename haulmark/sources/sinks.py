@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.predicates import moment
+from haulmark.sources.keyed import once_per_key
 
 
 def append_audited(df: DataFrame, path: str, as_of=None, created_by: int | None = None) -> None:
@@ -36,13 +37,13 @@ def replace_partitions(df: DataFrame, path: str, column: str = "report_date") ->
 def apply_updates(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A new version of ``base``: matched rows take the changes' values, NULLs too.
 
-    Changes must be unique per key (see ``duplicate_keys``); their columns that
-    ``base`` lacks are ignored.
+    Two changes for one key are refused at run time; columns that ``base`` lacks
+    are ignored.
     """
     keys = list(keys)
     kinds = dict(base.dtypes)
     values = [c for c in changes.columns if c in kinds and c not in keys]
-    new = changes.select(
+    new = once_per_key(changes.select(*keys, *values), keys).select(
         *keys, F.lit(True).alias("_hit"), *[F.col(c).cast(kinds[c]).alias(f"_new_{c}") for c in values]
     )
     joined = base.join(new, keys, "left")
