@@ -455,6 +455,13 @@ class TestBed(Mapping):
             self._frames[name] = self._spark.sql(spark_sql_of(name, self._view))
         return self._frames[name]
 
+    def store(self, folder: str) -> None:
+        """Write every table below ``folder`` and read it from there in this session, as a warehouse would hold it."""
+        for name in TABLES:
+            path = f"{folder.rstrip('/')}/{name}"
+            self[name].write.mode("overwrite").parquet(path)
+            self._frames[name] = self._spark.read.parquet(path)
+
     def __iter__(self):
         return iter(TABLES)
 
