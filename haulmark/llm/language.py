@@ -2,14 +2,16 @@
 
 Method. Of each language some labelled documents, chosen by a hash of their id,
 are joined, up to ``DICTIONARY`` bytes, and become a raw-content dictionary. A
-text is compressed whole with every dictionary, in pieces that each start from the dictionary alone, since a long text would else teach its language to
-every compressor; the smallest sum names the language. The margin, by which the
+text is compressed whole with every dictionary, in pieces that each start from
+the dictionary alone, since a long text would else teach its language to every
+compressor; the smallest sum names the language. The margin, by which the
 second smallest exceeds the smallest, relative to the smallest, is the
 confidence; below ``narrow`` the answer is marked as rejected.
 
 Defined cases. A null text, or one without any letter, is ``und`` with score 0.
 Documents without a lang teach nothing. With no language learned everything is
-``und``. Ties go to the language first in code-point order. Repeated rows are
+``und``. A text longer than a ``SHORT``-th part of a dictionary teaches nothing,
+so a language of long texts only is not learned. Ties go to the language first in code-point order. Repeated rows are
 answered alike. Empty tables give no rows. Extra columns are ignored.
 """
 
@@ -61,7 +63,8 @@ def dictionaries(docs: DataFrame, size: int = DICTIONARY, documents: int = DOCUM
 
 
 def predicted(rows: DataFrame, learned: dict[str, bytes], narrow: float = 0.01, level: int = LEVEL) -> DataFrame:
-    """``rows`` (with a column text) plus __lang, __score (0 to 1, from the margin) and __rejected."""
+    """``rows`` (with a column text) plus __lang, __score (0 to 1, from the margin) and __rejected, which replace columns of these names."""
+    rows = rows.drop("__lang", "__score", "__rejected")
     names = sorted(learned)
     bodies = [learned[n] for n in names]
 

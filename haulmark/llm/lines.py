@@ -12,7 +12,7 @@ Defined cases. Lines end at a line feed and are compared without blanks, tabs
 and carriage returns at their ends; blank lines are neither counted nor
 dropped. A null url, or one without a host, is the host ''. A host of fewer than
 ``least`` pages keeps all its lines, since a share says little there. A null
-text has no lines and stays null. Repeated rows count as pages of their own.
+text has no lines and stays null; page ids must be numbers. Repeated rows count as pages of their own.
 Empty tables give no rows. Extra columns are ignored by ``report`` and kept by
 ``clean``; lines are told apart by a 64-bit hash within their host.
 """

@@ -27,7 +27,7 @@ candidate is capped.
 Defined cases. Null texts and texts without words have the empty set and are
 linked with nothing. Texts with fewer words than a shingle have their whole
 sequence as one. Repeated rows are nodes with the same set. Documents without
-an id are never chosen as component_id while another has one. Long texts are
+an id are never chosen as component_id while another has one; ids must be numbers. Long texts are
 hashed whole. Empty tables give no rows. Extra columns are kept by ``dedup``.
 """
 

@@ -189,8 +189,8 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     )
 
 
-def scored(rows: DataFrame, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``rows`` (with a column text) plus __score, by vectors of ``docs`` and a network fitted on ``labels``."""
+def scored(rows: DataFrame, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, name: str = "__score") -> DataFrame:
+    """``rows`` (with a column text) plus the score as ``name``, by vectors of ``docs`` and a network fitted on ``labels``."""
     table = word_vectors(docs)
     network = train(docs, labels, table, sample)
 
@@ -199,11 +199,14 @@ def scored(rows: DataFrame, docs: DataFrame, labels: DataFrame, sample: int = SA
             x = _pooled(batch.column("text"), table)
             known = x[:, -1] > 0
             score = np.where(known, network.probability(x) if network else 0.5, 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*batch.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*batch.schema.names, name])
 
-    return rows.mapInArrow(run, rows.select("*", F.lit(0.0).alias("__score")).schema)
+    return rows.mapInArrow(run, rows.select("*", F.lit(0.0).alias(name)).schema)
 
 
 def keep(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``docs`` without the rows that the classifier rejects; all columns stay."""
-    return scored(docs, docs, labels, sample).where(F.col("__score") >= THRESHOLD).select(*docs.columns)
+    name, taken = "__score", {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return scored(docs, docs, labels, sample, name).where(F.col(name) >= THRESHOLD).select(*docs.columns)

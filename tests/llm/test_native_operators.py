@@ -185,5 +185,26 @@ def test_pipeline_stages_keep_columns_and_decide(spark):
     assert docs.columns == [*columns, "shard", "slot"] and docs.select("shard").distinct().count() == 16
 
 
+def test_pipeline_stages_bear_awkward_tables(spark, tmp_path):
+    """Nulls in every column, repeated rows, clashing names, no rows: each stage keeps the columns and does not fail."""
+    import corpus_pipeline
+
+    awkward = plain.awkward_docs(spark, copies=6).withColumn("__score", F.lit(1.0)).withColumn("__id", F.lit("x")).withColumn("label", F.lit(None).cast("string"))
+    nulls = spark.createDataFrame([tuple(None for _ in awkward.columns)] * 2, awkward.schema)
+    awkward = awkward.unionByName(nulls).cache()
+    items = spark.createDataFrame([(1, "w1 w2 w3"), (None, None), (2, "")], "item_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 200)] + [(None, 1, None), (4, None, 1)], "doc_id long, quality int, toxic int")
+    for name, table in (("benchmark", items), ("labels", marks)):
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+        table.limit(0).write.parquet(str(tmp_path / f"none/{name}.parquet"))
+    for folder in (tmp_path, tmp_path / "none"):
+        for docs in (awkward, awkward.limit(0)):
+            for name, stage in corpus_pipeline.STAGES:
+                out = stage(spark, docs, str(folder))
+                kept = [c for c in out.columns if c not in ("shard", "slot")]
+                assert kept == [c for c in docs.columns if c not in ("shard", "slot")], name
+                assert out.count() <= 4 * docs.count()
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
