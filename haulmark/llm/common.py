@@ -22,6 +22,14 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def free(names: list[str], wanted: str) -> str:
+    """``wanted``, with as many underscores before it as keep it apart from ``names``, whose case does not matter."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def folded(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it is."""
     plain = F.length(text) == F.octet_length(text)

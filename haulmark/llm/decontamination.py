@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from haulmark.llm.common import folded, meet, small
+from haulmark.llm.common import folded, free, meet, small
 from haulmark.session import written
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -145,6 +145,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
     """``docs`` without the rows that hold a window of a benchmark item; all columns stay."""
     words = item_words(items, width)
     spans = phrase_spans(build_index(docs, words), words)
-    hit = small(written(spans.select(*_DOC).distinct()), BROADCAST_ROWS)
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col("__hash"))
+    id_, hash_ = (free(docs.columns, c) for c in _DOC)
+    hit = small(written(spans.select(F.col("__id").alias(id_), F.col("__hash").alias(hash_)).distinct()), BROADCAST_ROWS)
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.coalesce(F.xxhash64("text"), F.lit(0)) == F.col(hash_))
     return docs.join(hit, same, "left_anti")

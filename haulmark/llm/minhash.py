@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.common import meet, small
+from haulmark.llm.common import free, meet, small
 from haulmark.llm.components import components
 from haulmark.llm.text import mix, pieces, shingles, words
 from haulmark.session import written
@@ -280,10 +280,13 @@ def dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     twice = written(
         found.where("n > 0").groupBy("__id", "__hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("__id", "__hash")
     )
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.coalesce(F.xxhash64("text"), F.lit(0))})
-    kept = meet(keyed, small(gone, BROADCAST_ROWS), ["__id", "__hash"], "left_anti")
+    names = [free(docs.columns, c) for c in ("__id", "__hash")]
+    gone, twice = (df.withColumnsRenamed(dict(zip(("__id", "__hash"), names, strict=True))) for df in (gone, twice))
+    own = (F.col("doc_id").cast("long"), F.coalesce(F.xxhash64("text"), F.lit(0)))
+    keyed = docs.withColumns(dict(zip(names, own, strict=True)))
+    kept = meet(keyed, small(gone, BROADCAST_ROWS), names, "left_anti")
     repeated = small(twice, BROADCAST_ROWS)
-    single = meet(kept, repeated, ["__id", "__hash"], "left_anti")
+    single = meet(kept, repeated, names, "left_anti")
     row = F.struct(*docs.columns)
-    once = meet(kept, repeated, ["__id", "__hash"], "left_semi").groupBy("__id", "__hash").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__row"))
+    once = meet(kept, repeated, names, "left_semi").groupBy(*names).agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__row"))
     return single.select(*docs.columns).unionByName(once.select("__row.*"))

@@ -190,7 +190,7 @@ def test_pipeline_stages_bear_awkward_tables(spark, tmp_path):
     import corpus_pipeline
 
     awkward = plain.awkward_docs(spark, copies=6).withColumn("__score", F.lit(1.0)).withColumn("__id", F.lit("x")).withColumn("label", F.lit(None).cast("string"))
-    nulls = spark.createDataFrame([tuple(None for _ in awkward.columns)] * 2, awkward.schema)
+    nulls = spark.createDataFrame([tuple(None for _ in awkward.columns)] * 2, f"{plain.SCHEMA}, __score double, __id string, label string")
     awkward = awkward.unionByName(nulls).cache()
     items = spark.createDataFrame([(1, "w1 w2 w3"), (None, None), (2, "")], "item_id long, text string")
     marks = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 200)] + [(None, 1, None), (4, None, 1)], "doc_id long, quality int, toxic int")
