@@ -47,25 +47,44 @@ def allocate_invoices(
 
     A bill counts when any of its orders was received in the window; then all
     its orders that are not excluded (and match the source system, if given)
-    share the invoice. The orders of the window name the bills, the bills name
-    their lines, and only those lines meet their orders and are added up.
+    share the invoice. Lines meet the window's orders and their own in one shuffle
+    by order, and go to their bills in a second one.
     ``received`` may hand over the ids of the window's orders, as read from facts
     stored by month; the dates are not needed then.
     """
     received = received_in_window(pos, start, end) if received is None else received
     hot = hot_keys(live(bill_pos), [BILL])
     sharing = (F.col("tms_status_id") != K.PO_EXCLUDED) & switch_filter(F.col("source_system"), source_system)
-    linked = _lines_of_touched_bills(received, bill_pos, hot).join(
-        pos.filter(sharing).select(PO, "po_number", "total_weight"), PO
+    orders = pos.select(PO, "po_number", "total_weight", F.coalesce(sharing, F.lit(False)).alias("sharing"))
+    inside = received.select(PO).distinct().withColumn("inside", F.lit(True))
+    # Equal lines count in the weights and are listed once. Weights and lines ask the same of their inputs (a filter on
+    # a count stays above it), so that Spark shuffles those once for both.
+    linked = (
+        live(bill_pos)
+        .select(PO, LOAD, BILL)
+        .join(inside, PO, "left")
+        .join(orders, PO, "left")
+        .filter(F.col(BILL).isNotNull())
+        .groupBy(PO, LOAD, BILL, "po_number", "total_weight", "inside")
+        .agg(F.count_if("sharing").cast(dec(10, 0)).alias("sharing_lines"))
+    )
+    weights = (
+        linked.groupBy(BILL)
+        .agg(
+            F.sum(F.when(F.col("sharing_lines") > 0, F.col("total_weight") * F.col("sharing_lines"))).cast(dec(28, 3)).alias("bill_weight"),
+            F.max("inside").alias("inside"),
+        )
+        .filter("inside")
+        .drop("inside")
     )
-    weights = linked.groupBy(BILL).agg(F.sum("total_weight").alias("bill_weight"))
     priced = (
         bills.filter(~F.col("cr_carrier_id").isin(*skip_carriers))
         .select(BILL, "invoice_amount")
         .join(weights, BILL)
     )
+    mine = linked.filter("sharing_lines > 0").select(PO, LOAD, BILL, "po_number", "total_weight")
     return (
-        join_spread(linked, priced, [BILL], [PO, LOAD], hot=hot)
+        join_spread(mine, priced, [BILL], [PO, LOAD], hot=hot, keep_part=True)
         .select(
             share(F.col("total_weight"), F.col("bill_weight"), F.col("invoice_amount")).alias(
                 "freight_paid_po"
@@ -74,8 +93,10 @@ def allocate_invoices(
             LOAD,
             BILL,
             "po_number",
+            "_part",
         )
         .distinct()
+        .drop("_part")
     )
 
 

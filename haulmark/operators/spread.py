@@ -39,22 +39,26 @@ def _missing(keys: Sequence[str]) -> Column:
 
 
 def join_spread(
-    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], by: Sequence[str], how: str = "inner", hot: Column | None = None
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], by: Sequence[str], how: str = "inner", hot: Column | None = None,
+    keep_part: bool = False,
 ) -> DataFrame:
     """``rows`` joined with the row of ``per_key`` for their ``keys``, which must be unique there.
 
     ``by`` names the columns of ``rows`` whose hash deals the rows of a hot key;
     ``how`` is inner, left, left_semi or left_anti. ``hot`` may hand over the
-    array of ``hot_keys`` of a table with the same hot keys.
+    array of ``hot_keys`` of a table with the same hot keys. ``keep_part`` leaves
+    the part as ``_part``, so that grouping by the keys and it takes no further shuffle.
     """
     keys = list(keys)
     hot = hot_keys(rows, keys) if hot is None else hot
     is_hot = F.coalesce(F.array_contains(hot, _one(keys)), F.lit(False))
-    part = F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
+    # Never NULL, else Spark would filter both sides' inputs on it.
+    part = F.coalesce(F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"), F.lit(0))
     dealt = rows.withColumn("_part", F.when(_missing(keys) | is_hot, part).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(SALTS - 1))
     copies = per_key.withColumn("_part", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
-    return dealt.join(copies, [*keys, "_part"], how).drop("_part")
+    joined = dealt.join(copies, [*keys, "_part"], how)
+    return joined if keep_part else joined.drop("_part")
 
 
 def with_totals(df: DataFrame, keys: Sequence[str], by: Sequence[str], **totals: Column) -> DataFrame:

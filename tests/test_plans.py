@@ -64,3 +64,21 @@ def test_all_form_rules_take_two_shuffles(spark, bed, tmp_path):
     day = dt.date(2002, 1, 1)
     assert plan_of(W.form_facts(stored, stored["submissions"], day)).count("Exchange hashpartitioning") == 2
     assert plan_of(W.validate_forms(stored, stored["submissions"], day)).count("Exchange hashpartitioning") <= 5
+
+
+def exchanges(spark, make) -> int:
+    """Shuffles by keys in a plan without broadcasts; one that is used again counts once."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    kept = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plan = plan_of(make())
+        return sum("Exchange hashpartitioning" in line and "ReusedExchange" not in line for line in plan.splitlines())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_an_allocation_shuffles_lines_by_order_and_by_bill_only(spark):
+    assert exchanges(spark, lambda: QUERIES["allocate_invoices"](spark, SF_DIR)) <= 7
