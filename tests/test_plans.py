@@ -82,3 +82,22 @@ def exchanges(spark, make) -> int:
 
 def test_an_allocation_shuffles_lines_by_order_and_by_bill_only(spark):
     assert exchanges(spark, lambda: QUERIES["allocate_invoices"](spark, SF_DIR)) <= 7
+
+
+def test_a_performance_report_cuts_its_tables_to_kept_orders(spark, bed):
+    from haulmark.plans import reports as R
+
+    for make in (R.supplier_performance, R.supplier_scorecard):
+        plan = plan_of(make(bed, "1997-03-01", "1997-03-28", remit="ALL"))
+        assert "InMemoryTableScan" in plan and plan.count("units_original") > 0
+
+
+def test_kept_rows_are_not_met_by_a_later_run(spark, tmp_path):
+    from haulmark.plans import reports as R
+
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    one = R.kept(spark.read.parquet(path))
+    again = R.kept(spark.read.parquet(path))
+    assert one.count() == 3 and one.columns == ["id"]
+    assert not one._jdf.queryExecution().analyzed().sameResult(again._jdf.queryExecution().analyzed())
