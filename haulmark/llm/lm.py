@@ -9,10 +9,10 @@ of the class's counts, which a join with the count table supplies. So each text
 is scored whole, the recurrent state runs through all its windows, and known
 words plus one unknown word per tail class share all probability.
 
-Training is truncated backpropagation over excerpts of every training text, one
-for each ``STRIDE`` words and one at least, so it grows with the corpus. Each
-task trains on its own excerpts, and the mean of all workers' weights starts the
-next round. Excerpts kept aside judge the weights of every round, the first
+Training is truncated backpropagation over every training text, cut into
+excerpts of ``EXCERPT`` tokens that follow one another, so every token is a
+target. Each task trains on its own excerpts, a third of them a round, and the
+mean of all workers' weights starts the next round. Excerpts kept aside judge the weights of every round, the first
 being plain word frequencies, and the best are used.
 
 Defined cases. A null text is empty and has one token, its end. Without any
@@ -40,7 +40,7 @@ HEAD = EXPLICIT // CLASS_WORDS
 CLASSES = HEAD + TAIL
 START = EXPLICIT + TAIL
 HIDDEN = 16
-WINDOW, EXCERPT, STRIDE = 32, 64, 512
+WINDOW, EXCERPT = 32, 64
 #: Texts scored side by side.
 LANES = 1024
 ROUNDS, STREAMS, STEPS = 3, 64, 120
@@ -277,19 +277,16 @@ def _numbered(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) ->
 
 
 def excerpts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(tokens): numbers of up to ``EXCERPT`` + 1 tokens in a row, -1 behind the end of a text, from every text."""
+    """(tokens): numbers of up to ``EXCERPT`` + 1 tokens in a row, -1 behind the end of a text; the whole of every text, the last token of one excerpt being the first of the next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for _, _, data, offsets in pieces(batch.column("text")):
-                hashes, starts, _, numbers, _ = _numbered(data, offsets, vocabulary)
+                _, starts, _, numbers, _ = _numbered(data, offsets, vocabulary)
                 for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                     tokens = np.concatenate([[START], numbers[a:b], [0]]).astype(np.int16)
-                    draw = int(hashes[b - 1] >> np.uint64(20)) if b > a else 0
-                    for k in range(0, len(tokens) - 1, STRIDE):
-                        room = max(min(STRIDE, len(tokens) - 1 - k) - EXCERPT, 0)
-                        at = k + draw % (room + 1)
+                    for at in range(0, len(tokens) - 1, EXCERPT):
                         piece = np.full(EXCERPT + 1, -1, np.int16)
                         own = tokens[at : at + EXCERPT + 1]
                         piece[: len(own)] = own
@@ -303,7 +300,7 @@ def _batch_loss(net: Network, rows: np.ndarray) -> float:
     """Log loss of all targets in excerpts, summed."""
     loss = 0.0
     for at in range(0, len(rows), STREAMS):
-        chosen = rows[at : at + STREAMS].T
+        chosen = rows[at : at + STREAMS].T.astype(np.int64)
         states, _ = net.run(np.maximum(chosen[:-1], 0), np.zeros((chosen.shape[1], HIDDEN), np.float32))
         live = chosen[1:] >= 0
         loss -= float(net.log_probability(states[live], chosen[1:][live]).sum())
@@ -318,7 +315,7 @@ def _trained_part(net: Network, rows: np.ndarray, turn: int) -> None:
     order = np.concatenate([draw.permutation(len(rows)) for _ in range(-(-steps * STREAMS // len(rows)))])
     done = 0
     for s in range(steps):
-        chosen = rows[order[s * STREAMS : (s + 1) * STREAMS]]
+        chosen = rows[order[s * STREAMS : (s + 1) * STREAMS]].astype(np.int64)
         state = np.zeros((len(chosen), HIDDEN), np.float32)
         for w in range(0, EXCERPT, WINDOW):
             given, want = chosen[:, w : w + WINDOW].T, chosen[:, w + 1 : w + WINDOW + 1].T
@@ -343,7 +340,7 @@ def trained(pieces_of_text: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
             rows = [np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.int16).reshape(-1, EXCERPT + 1) for batch in batches if batch.num_rows]
             if not rows:
                 return
-            rows = np.concatenate(rows).astype(np.int64)
+            rows = np.concatenate(rows)
             aside = np.arange(len(rows)) % JUDGES == JUDGES - 1
             judges, mine = rows[aside], rows[~aside]
             mine = mine[turn % ROUNDS :: ROUNDS] if len(mine) >= ROUNDS else mine

@@ -227,3 +227,14 @@ def test_lm_without_training_rows(docs, spark):
     assert lm.report(docs.limit(0)).count() == 0
     [row] = lm.report(spark.createDataFrame([(11, "a b")], "doc_id long, text string").where("crc32(cast(doc_id as string)) % 10 >= 0")).collect()
     assert row.n_tokens == 3
+
+
+def test_every_token_of_a_training_text_is_a_target(spark):
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (0, 1, 63, 64, 700)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    counts = lm.word_counts(docs)
+    vocabulary = lm.Vocabulary(counts, len(texts))
+    rows = [np.frombuffer(r.tokens, np.int16) for r in lm.excerpts(docs, vocabulary).collect()]
+    assert sum(int((row[1:] >= 0).sum()) for row in rows) == sum(n + 1 for n in (0, 1, 63, 64, 700))
+    words = np.concatenate([row[1:][row[1:] > 0] for row in rows])
+    assert len(words) == 1 + 63 + 64 + 700 and len(set(words.tolist())) == 700
