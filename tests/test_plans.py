@@ -101,3 +101,17 @@ def test_kept_rows_are_not_met_by_a_later_run(spark, tmp_path):
     again = R.kept(spark.read.parquet(path))
     assert one.count() == 3 and one.columns == ["id"]
     assert not one._jdf.queryExecution().analyzed().sameResult(again._jdf.queryExecution().analyzed())
+
+
+def test_weekly_jobs_meet_lines_links_and_orders_in_few_shuffles(spark):
+    for name in ("weekly_vendor_metrics", "weekly_margin_loss"):
+        assert exchanges(spark, lambda: QUERIES[name](spark, SF_DIR)) <= 32, name
+
+
+def test_days_of_vendors_read_their_days_from_a_small_table(spark, bed):
+    from pyspark.sql import functions as F
+
+    from haulmark.plans import daily
+
+    days = daily.whole_months(bed["lo_purchase_orders"].select(F.to_date("rec_date").alias(daily.DAY)))
+    assert exchanges(spark, lambda: daily.vendor_days(bed, days)) <= 30
