@@ -115,3 +115,10 @@ def test_days_of_vendors_read_their_days_from_a_small_table(spark, bed):
 
     days = daily.whole_months(bed["lo_purchase_orders"].select(F.to_date("rec_date").alias(daily.DAY)))
     assert exchanges(spark, lambda: daily.vendor_days(bed, days)) <= 30
+
+
+def test_wide_orders_of_the_mode_report_meet_their_loads_once(spark, bed):
+    """The report's order rows go by order only; what a load says comes with its links."""
+    from haulmark.plans import reports as R
+
+    assert exchanges(spark, lambda: R.supplier_expense_by_mode(bed, "1992-01-01", "1999-12-31")) <= 60
