@@ -122,3 +122,9 @@ def test_wide_orders_of_the_mode_report_meet_their_loads_once(spark, bed):
     from haulmark.plans import reports as R
 
     assert exchanges(spark, lambda: R.supplier_expense_by_mode(bed, "1992-01-01", "1999-12-31")) <= 60
+
+
+def test_the_billing_report_meets_links_and_lines_in_few_shuffles(spark, bed):
+    from haulmark.plans import reports as R
+
+    assert exchanges(spark, lambda: R.supplier_billing_report(bed, "1992-01-01", "1999-12-31")) <= 45
