@@ -526,7 +526,7 @@ def backhaul_requests(t: Tables, form_ids: DataFrame | None = None) -> DataFrame
         )
 
     direct = F.col("fp_ff_method_id") == K.BACKHAUL
-    return (
+    offers = (
         live(t["fp_freight_form_vendor"])
         .filter(F.col("fp_ff_method_id").isin(K.BACKHAUL, K.BACKHAUL_CROSSDOCK))
         .join(forms, FORM)
@@ -534,7 +534,7 @@ def backhaul_requests(t: Tables, form_ids: DataFrame | None = None) -> DataFrame
         .join(whs("own", "tms_whs_id"), "tms_whs_id")
         .join(whs("dock", "crossdock_whs_id"), "crossdock_whs_id", "left")
         .join(temperatures, "fp_ff_temperature_id", "left")
-        .groupBy(
+        .select(
             FORM,
             F.when(direct, F.col("own_email")).otherwise(F.col("dock_email")).alias("email_to"),
             F.when(direct, F.col("own_whs")).otherwise(F.col("dock_whs")).alias("contact_whs_id"),
@@ -543,7 +543,14 @@ def backhaul_requests(t: Tables, form_ids: DataFrame | None = None) -> DataFrame
             "state",
             "zip",
             "temperature",
+            "average_po_weight",
+            "average_pallets_per_po",
         )
+    )
+    # A group has few rows: they meet in small parts, not before the shuffle in the few tasks that read the tables.
+    return (
+        offers.repartition(FORM, "contact_whs_id", "address")
+        .groupBy(FORM, "email_to", "contact_whs_id", "address", "city", "state", "zip", "temperature")
         .agg(
             F.sum(or_zero(F.col("average_po_weight"))).cast(dec(28, 3)).alias("total_weight"),
             F.sum(or_zero(F.col("average_pallets_per_po"))).cast(dec(28, 3)).alias("total_pallets"),
