@@ -78,7 +78,7 @@ def pricing_dataset(t: Tables, form_ids=None, source_systems=None) -> DataFrame:
     rate = blended_rate_of(
         F.col("source_system"), F.col("tms_whs_id"), F.col("proposed_freight_per_lb"), vsp, F.lit(0)
     )
-    return rows.select(
+    priced = rows.select(
         FORM,
         "effective_date",
         "tms_vendor_id",
@@ -96,7 +96,9 @@ def pricing_dataset(t: Tables, form_ids=None, source_systems=None) -> DataFrame:
         "source_system",
         "tms_whs_id",
         F.when(F.col("tms_whs_id") == K.YORK_WAREHOUSE, or_zero(F.col("proposed_freight_per_lb"))).alias("true_york"),
-    ).distinct()
+    )
+    # Equal rows are rare: they meet in small parts, not before the shuffle in the few tasks that read the tables.
+    return priced.repartition(FORM, "vendor_number").distinct()
 
 
 def missing_dc_rows(dataset: DataFrame, warehouses: DataFrame, vendors: DataFrame, whs_ref: DataFrame) -> DataFrame:

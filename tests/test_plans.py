@@ -128,3 +128,21 @@ def test_the_billing_report_meets_links_and_lines_in_few_shuffles(spark, bed):
     from haulmark.plans import reports as R
 
     assert exchanges(spark, lambda: R.supplier_billing_report(bed, "1992-01-01", "1999-12-31")) <= 45
+
+
+def test_rows_that_seldom_repeat_meet_after_a_shuffle_only(spark, bed):
+    """No map-side table of nearly all rows in the few tasks that read the forms: the shuffle lies below both steps of the grouping."""
+    from haulmark.plans import feeds, reports, workflow
+
+    for df in (
+        reports.roll_date_report(bed, "2001-01-01", "2003-12-31"), feeds.pricing_dataset(bed), workflow.backhaul_requests(bed),
+    ):
+        above, below = plan_of(df).split("REPARTITION_BY_COL", 1)
+        assert above.count("Exchange ") == 1 and "HashAggregate" in above and "HashAggregate" not in below
+
+
+def test_facts_by_month_are_stored_with_zstandard(bed, tmp_path):
+    from haulmark.sources import facts
+
+    facts.store_by_month(bed["lo_purchase_orders"], str(tmp_path / "o"), "rec_date")
+    assert all(".zstd." in f.name for f in (tmp_path / "o").rglob("*.parquet"))
