@@ -147,3 +147,13 @@ def test_facts_by_month_are_stored_with_zstandard(bed, tmp_path):
 
     facts.store_by_month(bed["lo_purchase_orders"], str(tmp_path / "o"), "rec_date")
     assert all(".zstd." in f.name for f in (tmp_path / "o").rglob("*.parquet"))
+
+
+def test_an_allocation_of_a_narrow_window_gives_the_same_shares_from_cut_lines(spark, bed):
+    from haulmark.operators import costs as C
+
+    t = (bed["lo_purchase_orders"], bed["bl_bill_pos"], bed["bl_billing"])
+    few = C.received_rows(t[0], "1996-03-01", "1996-03-28").select("lo_purchase_order_id")
+    whole, cut = (C.allocate_invoices(*t, None, None, received=few, narrow=n) for n in (False, True))
+    assert whole.count() == cut.count() > 0 and whole.exceptAll(cut).isEmpty()
+    assert "LeftSemi" in plan_of(cut) and "LeftSemi" not in plan_of(whole)
