@@ -5,7 +5,9 @@ uses are stored in one pass over the texts. For each window of an item, the two
 rarest of its words are looked up; a position of the rarest less its offset in
 the item is an alignment, and it stays if the second rarest stands at its own
 offset as well. Only then are the lists of the item's other words intersected
-at that alignment, and runs of consecutive words give the exact phrases.
+at that alignment, and runs of consecutive words give the exact phrases. The items' words and
+their windows' rarest words are written to the shared folder once, as several
+joins and counts read them.
 
 Defined cases. Null or empty texts, on either side, have no words and match
 nothing. Repeated document rows each get their own result row, repeated items
@@ -98,7 +100,7 @@ def _alignments(index: DataFrame, rarest: DataFrame, slop: int = 0) -> DataFrame
 
 def phrase_spans(index: DataFrame, words: DataFrame) -> DataFrame:
     """Runs of at least a window's words that a document and an item share: __id, __hash, item, item_id, start, words."""
-    found = written(_alignments(index, _rarest(index, words)))
+    found = written(_alignments(index, written(_rarest(index, words))))
     held = small(found.select(*_DOC).distinct(), BROADCAST_ROWS)
     postings = index.where("word is not null").select(*_DOC, "word", "pos")
     lists = meet(postings, held, _DOC, "left_semi").dropDuplicates([*_DOC, "pos"])
@@ -116,12 +118,12 @@ def phrase_spans(index: DataFrame, words: DataFrame) -> DataFrame:
 
 def proximity(index: DataFrame, words: DataFrame, slop: int = 3) -> DataFrame:
     """Looser matches: (__id, __hash, item) with the two rarest words of a window at their distance, give or take ``slop`` words."""
-    return _alignments(index, _rarest(index, words), slop).select(*_DOC, "item").distinct()
+    return _alignments(index, written(_rarest(index, words)), slop).select(*_DOC, "item").distinct()
 
 
 def report(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit (words inside an occurring window), n_items, items_sha256, contaminated."""
-    words = item_words(items, width)
+    words = written(item_words(items, width))
     index = build_index(docs, words)
     spans = phrase_spans(index, words).withColumn("pos", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("words").cast("int") - 1)))
     hit = spans.groupBy(*_DOC).agg(
@@ -143,7 +145,7 @@ def report(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a window of a benchmark item; all columns stay."""
-    words = item_words(items, width)
+    words = written(item_words(items, width))
     spans = phrase_spans(build_index(docs, words), words)
     id_, hash_ = (free(docs.columns, c) for c in _DOC)
     hit = small(written(spans.select(F.col("__id").alias(id_), F.col("__hash").alias(hash_)).distinct()), BROADCAST_ROWS)

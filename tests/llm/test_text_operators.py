@@ -107,6 +107,22 @@ def test_decontamination_matches_all_windows(spark):
     assert Counter(tuple(r) for r in kept.collect()) == Counter(r for r, w in zip(rows, want, strict=True) if not w[-1])
 
 
+def test_decontamination_splits_the_items_once(spark, monkeypatch):
+    """Lookups read the items' words and windows back; none has the way from the items' texts in its plan."""
+    items = spark.createDataFrame([(1, "alpha one two omega")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "alpha one two omega"), (2, "alpha one")], "doc_id long, text string")
+    found = []
+    align = decontamination._alignments
+
+    def seen(index, rarest, slop=0):
+        found.append(rarest._jdf.queryExecution().optimizedPlan().toString())
+        return align(index, rarest, slop)
+
+    monkeypatch.setattr(decontamination, "_alignments", seen)
+    assert [r.doc_id for r in decontamination.decontaminate(docs, items).collect()] == [2]
+    assert len(found) == 1 and "Generate" not in found[0] and "Join" not in found[0]
+
+
 def test_proximity_finds_words_a_little_apart(spark):
     items = spark.createDataFrame([(1, "alpha one two omega")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "alpha one x two omega one two"), (2, "alpha one x x x x x x two omega")], "doc_id long, text string")
