@@ -12,11 +12,12 @@ estimates its similarity and filters it, and the full sets decide.
 
 A node is first compared with one leader only, of those in its lists the one
 whose neighbours most others share, which in a family of edited copies is the
-text they stem from; then, where the nodes of a list are still apart, with the
-leader of each such list, and then with another. Nodes that are linked need no
-other proof of being together. What is apart after that is compared across
+text they stem from; then, of the lists whose nodes are still apart, with the
+leader of most of them, by that order and by another. Nodes that are linked need
+no other proof of being together. What is apart after that is compared across
 groups: a node with every member of a large group whose lists it shares, by
-blocks of the group, on full sets inside the task; and the rest pair by pair. A
+blocks of the group, on full sets inside the task; and the rest pair by pair, a
+long list by squares of its pairs that go to several tasks. A
 group of thousands of copies thus costs about a comparison a node.
 
 Sketches estimate: at a similarity of 0.8 the chance that a pair is in no
@@ -56,6 +57,10 @@ FLOOR = 0.5
 BROADCAST_ROWS = 200_000
 #: From so many members a group is compared as a whole, in blocks of so many members.
 LARGE, BLOCK = 32, 2_000
+#: Members of a list in a side of one square of its pairs.
+TILE = 128
+#: Words of 64 bits (a power of two) that tell most unlike sketches apart.
+BIT_WORDS = 4
 _SKETCHED = "__id long, __hash long, n long, print binary, low array<long>, sketch array<int>"
 
 
@@ -135,10 +140,30 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
 
 def _alike(one: str, two: str) -> Column:
     """Whether the union of two sketches holds at least ``FLOOR`` of common values."""
-    union = F.slice(F.array_sort(F.array_union(one, two)), 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union(one, two)), 1, SKETCH)
     return F.size(F.array_intersect(union, F.array_intersect(one, two))) >= F.size(union) * F.lit(FLOOR)
 
 
+def _bits(sketch: str) -> list[Column]:
+    """The sketch as a set of bits, in words of 64."""
+    none = F.lit(0).cast("long")
+
+    def word(k: int) -> Column:
+        def with_bit(held: Column, x: Column) -> Column:
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)))
+            return F.when(F.shiftright(x, 6).bitwiseAND(F.lit(BIT_WORDS - 1)) == k, held.bitwiseOR(bit)).otherwise(held)
+
+        return F.aggregate(sketch, none, with_bit)
+
+    return [word(k) for k in range(BIT_WORDS)]
+
+
+def _may_be_alike(one: str, two: str) -> Column:
+    """True wherever ``_alike`` is, by the bits and sizes alone: each bit of one that the other lacks is a value that it lacks."""
+    lacks = sum((F.bit_count(F.col(f"bits{k}_{one}").bitwiseAND(F.bitwise_not(f"bits{k}_{two}"))) for k in range(BIT_WORDS)), F.lit(0))
+    return F.col(f"kept_{one}") - lacks >= F.greatest(f"kept_{one}", f"kept_{two}") * F.lit(FLOOR)
+
+
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, na, nb) that the sizes and the sketch of the union don't rule out."""
     sized = pairs.where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
@@ -204,49 +229,56 @@ def _with_large(apart: DataFrame, labels: DataFrame, large: DataFrame, nodes: Da
 def linked_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, label) for the nodes with links."""
     lists = written(inverted_lists(nodes))
-    shared = lists.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
-    lists = written(lists.join(shared, "value", "left_semi"))
-    links = labels = None
+    labels = None
 
     def apart() -> DataFrame:
         """List rows, with their group, of the lists whose nodes are in several groups."""
-        named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        named = lists.join(small(labels, BROADCAST_ROWS), "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = named.groupBy("value").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("value")
         return written(named.join(mixed, "value", "left_semi"))
 
-    for order in (F.col("degree"), F.col("degree"), F.xxhash64("node")):
-        rows = lists.withColumn("label", F.col("node")) if labels is None else apart()
-        lead = rows.groupBy("value").agg(F.max(F.struct(order.alias("by"), "node", "n", "label")).alias("lead"))
-        led = rows.join(written(lead), "value")
-        if labels is None:
-            led = led.groupBy("node", "n", "label").agg(F.max("lead").alias("lead"))
-        first = F.col("lead.node") < F.col("node")
-        pairs = led.where("lead.label <> label").select(
-            F.least("lead.node", "node").alias("a"),
-            F.greatest("lead.node", "node").alias("b"),
-            F.when(first, F.col("lead.n")).otherwise(F.col("n")).alias("na"),
-            F.when(first, F.col("n")).otherwise(F.col("lead.n")).alias("nb"),
-        )
-        near = written(_near(pairs.distinct(), nodes, percent))
-        proved = written(_proved(near, nodes, docs, width, percent))
-        links = proved if links is None else links.unionByName(proved)
-        labels = components(links)
+    def led(rows: DataFrame, **leads: Column) -> DataFrame:
+        """``rows`` with a node of each list and order of ``leads``, the one that comes last."""
+        return rows.join(rows.groupBy("value").agg(*[F.max(F.struct(by.alias("by"), "node", "n", "label")).alias(c) for c, by in leads.items()]), "value")
+
+    def proved(pairs: DataFrame) -> DataFrame:
+        near = _near(pairs.where("lead.label <> label").select(F.col("node").alias("a"), F.col("lead.node").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb")), nodes, percent)
+        return written(_proved(written(near), nodes, docs, width, percent))
+
+    every = lists.withColumn("label", F.col("node"))
+    links = proved(led(every, lead=F.col("degree")).groupBy("node", "n", "label").agg(F.max("lead").alias("lead")))
+    labels = components(links)
+    # of the leaders in a node's lists the one that leads most of them, so that pairs are no more than two a node
+    often = led(apart(), most=F.col("degree"), any=F.xxhash64("node")).groupBy("node", "n", "label").agg(
+        *[F.mode(F.when(F.col(f"{c}.label") != F.col("label"), F.col(c)), deterministic=True).alias(c) for c in ("most", "any")]
+    )
+    links = links.unionByName(proved(often.select("node", "n", "label", F.explode(F.array_distinct(F.array("most", "any"))).alias("lead"))))
+    labels = components(links)
 
     rows = apart()
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
     large = written(sizes.where(F.col("c") >= LARGE).select("label", F.ceil(F.col("c") / BLOCK).alias("blocks")))
     by_group = written(_with_large(rows, labels, large, nodes, docs, width, percent))
-    rest = rows.join(large, "label", "left_anti")
+    rest = rows.join(large, "label", "left_anti").select("value", "node", "n", "label")
+    held = rest.groupBy("value").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    rest = written(rest.join(held.where("l0 <> l1").select("value", "tiles"), "value"))
     mine = rest.groupBy("node").agg(F.collect_set("value").alias("mine"))
-    rest = written(rest.join(nodes.select("node", "sketch"), "node").join(mine, "node"))
+    sketched = nodes.join(mine, "node").select("node", "mine", "sketch", F.size("sketch").alias("kept"), *[c.alias(f"bits{k}") for k, c in enumerate(_bits("sketch"))])
+    rest = written(rest.join(sketched, "node"))
+    # a long list is dealt over the squares of a grid, so that no task has all its pairs
+    own, every = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     one, two = (
-        rest.select("value", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label", "sketch", "mine")]) for s in ("a", "b")
+        rest.select("value", own.alias(f"tile_{s}"), every.alias(f"tile_{o}"), *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "label", "kept", *[f"bits{k}" for k in range(BIT_WORDS)], "sketch", "mine")])
+        for s, o in (("a", "b"), ("b", "a"))
     )
-    apart_yet = (F.col("one.value") == F.col("two.value")) & (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+    same = [F.col(f"one.{c}") == F.col(f"two.{c}") for c in ("value", "tile_a", "tile_b")]
+    apart_yet = same[0] & same[1] & same[2] & (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
     close = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
     # a pair meets in every list it shares and is looked at in the least of them only
     first = F.col("one.value") == F.array_min(F.array_intersect("mine_a", "mine_b"))
-    met = one.alias("one").join(two.alias("two"), apart_yet & close & first & _alike("sketch_a", "sketch_b"))
+    # within a case, as what an "and" repeats on its right is worked out for every pair
+    alike = F.when(_may_be_alike("a", "b"), F.when(first, _alike("sketch_a", "sketch_b")).otherwise(False)).otherwise(False)
+    met = one.alias("one").join(two.alias("two"), apart_yet & close & alike)
     pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     proved = written(_proved(written(pairs), nodes, docs, width, percent))
     return components(links.unionByName(by_group).unionByName(proved))

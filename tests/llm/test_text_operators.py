@@ -45,6 +45,26 @@ def test_pieces_cover_all_rows(monkeypatch):
     assert [g[1] for g in got] == [0, *[g[2] for g in got[:-1]]] and got[-1][2] == len(texts)
 
 
+def test_long_lists_are_compared_by_squares(docs, rows, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 2)
+    sets = [(i, plain.shingle_set(t, 2)) for i, t in rows]
+    expected = plain.groups(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
+    assert Counter((r.doc_id, r.component_id) for r in minhash.report(docs).collect()) == Counter((i, expected[i, s]) for i, s in sets)
+
+
+def test_bits_rule_out_unlike_sketches_only(spark):
+    draw, rows = random.Random(6), []
+    for share in (0.0, 0.2, 0.5, 0.6, 0.8, 1.0) * 20:
+        values = sorted(draw.sample(range(-(1 << 31), 1 << 31), 160))
+        n, common = draw.choice([3, 20, 64]), int(share * 64)
+        rows.append((sorted(values[:n]), sorted(values[: min(n, common)] + values[64 : 64 + max(n - common, 0)])))
+    df = spark.createDataFrame(rows, "sketch_a array<int>, sketch_b array<int>")
+    for s in "ab":
+        df = df.withColumns({f"kept_{s}": minhash.F.size(f"sketch_{s}")} | {f"bits{k}_{s}": c for k, c in enumerate(minhash._bits(f"sketch_{s}"))})
+    got = [tuple(r) for r in df.select(minhash._may_be_alike("a", "b"), minhash._alike("sketch_a", "sketch_b")).collect()]
+    assert all(may or not alike for may, alike in got) and {(True, True), (False, False)} <= set(got)
+
+
 @pytest.mark.parametrize(("width", "large", "block"), [(2, 2, 3), (5, 32, 2000)])
 def test_near_duplicates_match_all_pairs(docs, rows, width, large, block, monkeypatch):
     monkeypatch.setattr(minhash, "LARGE", large)
@@ -64,6 +84,26 @@ def test_dedup_keeps_one_of_each_group_and_all_columns(docs, rows):
     assert got == Counter({**{group[k]: 1 for k in group if k[1]}, **Counter(i for i, s in sets if not s)})
 
 
+def test_leaders_ask_for_two_pairs_a_node_at_most(spark, monkeypatch):
+    """Texts with a few of many common passages have a leader in each passage's lists; only the pairwise part may look at all of them."""
+    draw = random.Random(5)
+    passages = [" ".join(f"p{p}w{i}" for i in range(8)) for p in range(24)]
+    texts = [" ".join([*draw.sample(passages, 6), *(f"d{i}w{j}" for j in range(30))]) for i in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked, near = [], minhash._near
+
+    def seen(pairs, *more):
+        asked.append(pairs.count())
+        return near(pairs, *more)
+
+    monkeypatch.setattr(minhash, "_near", seen)
+    got = {r.doc_id: r.component_id for r in minhash.report(docs, 2).collect()}
+    sets = [(i, plain.shingle_set(t, 2)) for i, t in enumerate(texts)]
+    want = plain.groups(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
+    assert got == {i: want[i, s] for i, s in sets}
+    assert asked and max(asked) <= 2 * len(texts), asked
+
+
 def test_components_follow_chains_and_stars(spark):
     from haulmark.llm.components import components
 
